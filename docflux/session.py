@@ -60,7 +60,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` in bytes (an upper bound for filters and projections of files)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
