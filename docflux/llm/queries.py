@@ -1,4 +1,35 @@
 """Registered queries of the llm operators."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from docflux.llm import mixing, tokenize
+from docflux.sources.tables import table
+
+
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document."""
+    return tokenize.encode_corpus(table(spark, sf_dir, "documents"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, sf_dir, "mix_targets")
+    sized = mixing.sized_documents(table(spark, sf_dir, "documents"), targets)
+    plan = mixing.budgets(sized, targets)
+    return mixing.draw(sized, plan), plan
+
+
+def p7_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that a mixing plan uses, with its repeats."""
+    return _mix(spark, sf_dir)[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual shares of each plan."""
+    drawn, plan = _mix(spark, sf_dir)
+    return mixing.report(drawn, plan)
+
+
+QUERIES = {"p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
 SQL: dict[str, str] = {}
