@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflux.llm import mixing, residue, tokenize
+from docflux.llm import mixing, residue, spam, tokenize
 from docflux.sources.tables import table
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that are spam of keywords, links or product tags."""
+    return spam.find_spam(table(spark, sf_dir, "documents"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose clean_text is template residue, filler or a message."""
     return residue.find_residue(table(spark, sf_dir, "documents"))
@@ -36,5 +41,5 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(drawn, plan)
 
 
-QUERIES = {"p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
 SQL: dict[str, str] = {}
