@@ -23,6 +23,8 @@ from docflux.session import broadcast_if_small, materialize
 SPAM_HOSTS, SPAM_SHARE = 3, 0.5
 #: Pages of a host that repeat a line of running text before it counts as the site's, not the page's.
 SITE_PAGES = 3
+#: Words from which a line's pairs of words are looked at instead of its words.
+LONG_LINE = 150
 #: Least share of a list line's shingles that are stuffed, and lines (or characters) of evidence that a page needs.
 STITCHED, LEAST_LINES, LEAST_CHARS = 0.25, 3, 160
 
@@ -55,7 +57,9 @@ def with_evidence(lines: DataFrame) -> DataFrame:
     tags = F.size(F.regexp_extract_all(line, F.lit(r"#[\p{L}\p{M}\d_]{3,}"), F.lit(0)))
     tagged = (tags >= 3) & (tags >= 0.8 * F.size(F.split(line, r"\s+")))
     w = words(line)
-    stuffed = (F.size(w) >= 8) & (F.size(F.array_distinct(w)) <= 0.5 * F.size(w)) & ~line.rlike(r"[\p{L}\d][.?][\"'”’)]*$")
+    pairs = F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    few = F.when(F.size(w) <= LONG_LINE, F.size(F.array_distinct(w))).otherwise(F.size(F.array_distinct(pairs)))  # any long text repeats words, but not pairs
+    stuffed = (F.size(w) >= 8) & (few <= 0.5 * F.size(w))
     priced = line.rlike(r"\S\s{2,}\p{Sc}?\d+[.,]\d{2}\s{2,}\S")
     strong = link | tagged | stuffed | priced
     return lines.withColumn("strong", F.coalesce(strong, F.lit(False))).withColumn("list", F.col("strong") | ~is_running_text(F.col("line")))
