@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflux.llm import mixing, residue, spam, tokenize
+from docflux.llm import boilerplate, mixing, residue, spam, tokenize
+from docflux.session import materialize
 from docflux.sources.tables import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of raw pages that aren't main content; spam pages are left out."""
+    docs = table(spark, sf_dir, "documents")
+    return boilerplate.find_boilerplate(docs, leave_out=materialize(spam.find_spam(docs), "spam"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that are spam of keywords, links or product tags."""
     return spam.find_spam(table(spark, sf_dir, "documents"))
@@ -41,5 +48,5 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(drawn, plan)
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
 SQL: dict[str, str] = {}
