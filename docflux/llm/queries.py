@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflux.llm import boilerplate, mixing, residue, spam, tokenize
+from docflux.llm import boilerplate, mixing, pii, residue, spam, tokenize
 from docflux.session import materialize
 from docflux.sources.tables import table
 
@@ -48,5 +48,15 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(drawn, plan)
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal information in every text."""
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with placeholders for personal information."""
+    return pii.redact(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p8_found": p8_found, "p8_redacted": p8_redacted, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
 SQL: dict[str, str] = {}
