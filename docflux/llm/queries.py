@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docflux.llm import boilerplate, mixing, pii, residue, spam, tokenize
-from docflux.session import materialize
+from docflux.llm import boilerplate, language, mixing, pii, residue, spam, tokenize
+from docflux.session import broadcast_if_small, materialize
 from docflux.sources.tables import table
 
 
@@ -25,6 +26,29 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.find_residue(table(spark, sf_dir, "documents"))
 
 
+def _labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (without residue) and summaries with the languages of their texts and lines, beside their labels."""
+    docs = table(spark, sf_dir, "documents").where("clean_text is not null and doc_id is not null")
+    docs = docs.select("doc_id", "clean_text", language.label_code(F.col("lang")).alias("label"))
+    residues = materialize(residue.find_residue(table(spark, sf_dir, "documents")), "residue")
+    kept = docs.join(broadcast_if_small(residues), "doc_id", "left_anti")
+    documents = kept.select(F.lit("document").alias("rec_type"), F.col("doc_id").cast("string").alias("rec_id"), "label", F.col("clean_text").alias("text"))
+    events = table(spark, sf_dir, "policy_events").where("summary_en is not null and event_id is not null")
+    summaries = events.groupBy("event_id").agg(F.max("summary_en").alias("text")).select(F.lit("summary").alias("rec_type"), F.col("event_id").alias("rec_id"), F.lit("en").alias("label"), "text")
+    tagger = language.train(language.training_sample(kept, "clean_text", F.col("label")))
+    return language.label_languages(documents.unionByName(summaries), tagger, "text", ["rec_type", "rec_id", "label"])
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of missing or wrong language label, and every line of mixed texts."""
+    return language.find_mislabelled(materialize(_labelled_texts(spark, sf_dir), "languages"))
+
+
+def p5_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language and confidence of every text and of each of its lines."""
+    return _labelled_texts(spark, sf_dir)
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every document."""
     return tokenize.encode_corpus(table(spark, sf_dir, "documents"))
@@ -58,5 +82,5 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p8_found": p8_found, "p8_redacted": p8_redacted, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
+QUERIES = {"p5_found": p5_found, "p5_labels": p5_labels, "p8_found": p8_found, "p8_redacted": p8_redacted, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
 SQL: dict[str, str] = {}
