@@ -1,7 +1,7 @@
 """Registered queries: name -> function of (spark, sf_dir), and name -> SQL that gives the same rows."""
 
-from docflux.queries import problems
+from docflux.queries import problems, reference
 
-MODULES = [problems]
+MODULES = [problems, reference]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
