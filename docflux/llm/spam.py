@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflux.llm.residue import document_lines, masked
+from docflux.llm.residue import document_lines
 from docflux.session import broadcast_if_small, materialize
 
 #: Hosts on which a stuffed phrase must stand in pages with evidence, and the least share of its pages that have some.
@@ -49,18 +49,19 @@ def is_running_text(line: Column) -> Column:
 
 def with_evidence(lines: DataFrame) -> DataFrame:
     """Adds ``strong`` (evidence by shape) and ``list`` (a list line) to lines with ``host``."""
+    raw = F.col("line")
     line = F.regexp_replace("line", _BULLET, "")
     url = F.lower(F.regexp_extract(line, r"(?i)\bhttps?://([^/\s:<>\]\)\"']+)", 1))
     rest = F.regexp_replace(F.regexp_replace(line, _URL, " "), r"</?\w+[^>]*>|[\[\]()<>|]", " ")
     own = (url == F.col("host")) | url.endswith(F.concat(F.lit("."), F.col("host"))) | F.col("host").endswith(F.concat(F.lit("."), url))
-    link = (url != "") & ~own & (F.size(words(rest)) <= 8)
+    link = F.when(F.lower(raw).contains("http"), (url != "") & ~own & (F.size(words(rest)) <= 8))
     tags = F.size(F.regexp_extract_all(line, F.lit(r"#[\p{L}\p{M}\d_]{3,}"), F.lit(0)))
-    tagged = (tags >= 3) & (tags >= 0.8 * F.size(F.split(line, r"\s+")))
-    w = words(line)
-    pairs = F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    few = F.when(F.size(w) <= LONG_LINE, F.size(F.array_distinct(w))).otherwise(F.size(F.array_distinct(pairs)))  # any long text repeats words, but not pairs
-    stuffed = (F.size(w) >= 8) & (few <= 0.5 * F.size(w))
-    priced = line.rlike(r"\S\s{2,}\p{Sc}?\d+[.,]\d{2}\s{2,}\S")
+    tagged = F.when(raw.contains("#"), (tags >= 3) & (tags >= 0.8 * F.size(F.split(line, r"\s+"))))
+    pairs = lambda w: F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    few = lambda w: F.when(F.size(w) <= LONG_LINE, F.size(F.array_distinct(w))).otherwise(F.size(F.array_distinct(pairs(w))))  # noqa: E731 - any long text repeats words, but not pairs
+    stuffed = F.when(F.length(raw) >= 16, F.element_at(F.transform(F.array(words(line)), lambda w: (F.size(w) >= 8) & (few(w) <= 0.5 * F.size(w))), 1))
+    priced = raw.rlike(r"\S\s{2,}\p{Sc}?\d+[.,]\d{2}\s{2,}\S")
+    link, tagged, stuffed = (F.coalesce(x, F.lit(False)) for x in (link, tagged, stuffed))
     strong = link | tagged | stuffed | priced
     return lines.withColumn("strong", F.coalesce(strong, F.lit(False))).withColumn("list", F.col("strong") | ~is_running_text(F.col("line")))
 
@@ -84,10 +85,10 @@ def stuffed_phrases(listed: DataFrame) -> DataFrame:
 def page_evidence(docs: DataFrame, text: str = "raw_text", title: str = "title") -> DataFrame:
     """(doc_id, spam_lines, spam_chars, own_chars, stuffed_title) of each page that has some evidence."""
     pages = docs.withColumn("host", page_host(docs)).where(F.col("doc_id").isNotNull())
-    heads = pages.where(F.col(text).isNotNull()).select("doc_id", F.concat(F.lit("\n"), F.coalesce(F.col(title), F.lit(""))).alias("title"))
+    heads = pages.where(F.col(text).isNotNull()).select("doc_id", F.coalesce(F.col(title), F.lit("")).alias("title"))
     hosts = pages.select("doc_id", "host", text)
     lines = with_evidence(document_lines(hosts, text, "host"))
-    kept = lines.select("doc_id", "line_no", "host", "strong", "list", F.length("line").alias("chars"), F.when(F.col("list"), phrase_shingles(F.col("line"))).alias("phrases"), F.when(~F.col("list"), F.xxhash64(masked(F.col("line")))).alias("key"))
+    kept = lines.select("doc_id", "line_no", "host", "strong", "list", F.length("line").alias("chars"), F.when(F.col("list"), phrase_shingles(F.col("line"))).alias("phrases"), F.when(~F.col("list"), F.xxhash64(F.regexp_replace("line", r"\d+", "9"))).alias("key"))
     kept = materialize(kept, "spam-lines")
     evident = kept.groupBy("doc_id").agg((F.count_if("strong") >= LEAST_LINES).alias("evident")).where("evident")
     listed = kept.where("list").join(broadcast_if_small(materialize(evident, "spam-evident")), "doc_id", "left").fillna(False, ["evident"])
