@@ -36,8 +36,8 @@ _PARTS = r"\s+[|·•»›>/\-–—]\s+|\s{2,}|(?<=\S)\s*\|\s*"
 def node(text: Column) -> Column:
     """The hash of a line's content node: case, bullets, numbers and month names don't count."""
     x = F.regexp_replace(F.lower(F.trim(text)), _BULLET, "")
-    x = F.regexp_replace(x, rf"(?<![\p{{L}}\p{{M}}])(?:{_MONTHS})(?![\p{{L}}\p{{M}}])", "<m>")
-    return F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(x, r"\d+(?:[.,:/\-]\d+)*", "<*>"), r"\s+", " ")))
+    dated = F.regexp_replace(F.regexp_replace(x, rf"(?<![\p{{L}}\p{{M}}])(?:{_MONTHS})(?![\p{{L}}\p{{M}}])", "<m>"), r"\d+(?:[.,:/\-]\d+)*", "<*>")
+    return F.xxhash64(F.when(text.rlike(r"\d"), dated).otherwise(x))  # months count as numbers only beside one
 
 
 def shape(line: Column) -> Column:
@@ -62,10 +62,10 @@ def style_nodes(docs: DataFrame, text: str, with_host: bool) -> DataFrame:
     """One row a non-blank line: doc_id, (host), line_no, key, bare (title key), running, cut, parts, sentences."""
     lines = document_lines(docs, text, "host") if with_host else document_lines(docs, text)
     line = F.col("line")
-    running = is_running_text(line)
-    cut = line.rlike(r"\s(?:\.\.\.|…)$")
+    lines = lines.withColumn("cut", line.endswith(" ...") | line.endswith(" …")).withColumn("running", is_running_text(line) & ~F.col("cut"))
+    running, cut = F.col("running"), F.col("cut")
     keep = ["doc_id", "host", "line_no"] if with_host else ["doc_id", "line_no"]
-    return lines.select(*keep, node(line).alias("key"), node(F.regexp_replace(line, _DATED, "")).alias("bare"), (running & ~cut).alias("running"), cut.alias("cut"), F.when(~running & ~cut, shape(line)).alias("shape"), F.when(~running & ~cut, parts(line)).alias("parts"), F.when(running & ~cut, sentences(line)).alias("sentences"))
+    return lines.select(*keep, node(line).alias("key"), F.when(~running, node(F.when(line.endswith(")") | cut, F.regexp_replace(line, _DATED, "")).otherwise(line))).alias("bare"), running, cut, F.when(~running & ~cut, shape(line)).alias("shape"), F.when(~running & ~cut, parts(line)).alias("parts"), F.when(running, sentences(line)).alias("sentences"))
 
 
 def site_tree(raw: DataFrame) -> DataFrame:
