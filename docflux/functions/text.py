@@ -75,7 +75,7 @@ def char_chunks(text: Column, size: int = 1200, overlap: int = 200, keep_empty:
         raise ValueError("size must exceed overlap")
     starts = F.sequence(F.lit(0), F.greatest(F.length(text), F.lit(1)) - 1, F.lit(size - overlap))
     pieces = F.transform(starts, lambda at, i: F.struct(i.cast("int").alias("chunk_index"), F.substring(text, at + 1, F.lit(size)).alias("chunk")))
-    return pieces if keep_empty else F.when(F.length(text) > 0, pieces).otherwise(F.slice(pieces, 1, 0))
+    return F.when(text.isNotNull(), pieces if keep_empty else F.when(F.length(text) > 0, pieces).otherwise(F.slice(pieces, 1, 0)))
 
 
 def token_estimate(text: Column) -> Column:
