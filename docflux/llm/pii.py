@@ -133,7 +133,7 @@ ADDRESSES = [
     rf"\d{{1,5}} {_N} (?:St\.|Street|Ave\.|Avenue|Rd\.|ST\.|AVE\.),? (?:Brgy\.|Barangay|BRGY\.) {_N}, (?:(?:Bayan|Lungsod|BAYAN|LUNGSOD) (?:ng|NG) )?{_N}(?: \d{{4}})?",
 ]
 ADDRESS = regex.compile(r"(?<![\w/#\-])(?:" + "|".join(ADDRESSES) + r")")
-_ADDRESS_HINT = regex.compile(r"\d{4,6}|thành phố|Bayan|Lungsod|Brgy|THÀNH PHỐ|BAYAN|LUNGSOD")
+_ADDRESS_HINT = re.compile(r"\d{4}|\d[A-Z\d]? ?\d[A-Z]{2}|thành phố|tỉnh|TỈNH|TP|Bayan|Lungsod|Brgy|THÀNH PHỐ|BAYAN|LUNGSOD")
 
 # ---------------------------------------------------------------- persons
 _T = r"(?:(?:[DdOL]['’])?\p{Lu}[\p{L}\p{M}'’]+(?:-\p{Lu}[\p{L}\p{M}'’]+)*|\p{Lu}\.)"
@@ -178,7 +178,7 @@ _DIGITS = re.compile(r"\d(?:\D{0,4}\d){3}")
 ORGANISATION = frozenset(
     "securities services service house co company pte ltd limited llp llc inc corp plc bank group holdings partners trust fund board agency authority bureau commission council committee office ministry department division unit team panel secretariat institute association forum society union centre center conseil amt autoriteit "
     "office bundesamt reichweitenamt cuc uy ban badan otoritas komisi kementerian direktorat lembaga suruhanjaya tabung jabatan lupon kagawaran act bill law code regulation accord agreement treaty convention circular notice licence license annex schedule bridge road street avenue management guidance circular "
-    "payments remittance custody lending media relations the this our each every however data privacy consumer consumers industry review inspection policy licensing supervision a an in on at for of and is to from as firms operators responses members urus setia sekretariat secretariat secrétariat kalihiman thư".split()
+    "payments remittance custody lending media relations the this our each every however data privacy consumer consumers industry review inspection policy licensing supervision a an in on at for of and is to from as firms operators responses members yang karena itu demikian urus setia sekretariat secretariat secrétariat kalihiman thư".split()
 )
 
 
@@ -234,7 +234,7 @@ def spans(text: str) -> list[tuple[int, int, str, float]]:
                 score = _phone_score(m.group(), s[max(0, m.start() - 60) : m.start()])
                 if score > 0:
                     own.append((m.start(), m.end(), "phone", score))
-        if (digits or "Brgy" in s or "BRGY" in s or "thành phố" in s or "THÀNH PHỐ" in s) and _ADDRESS_HINT.search(s):
+        if _ADDRESS_HINT.search(s):
             own += [(m.start(), m.end(), "address", 4.5) for m in ADDRESS.finditer(s)]
         if _PERSON_HINT.search(s):
             for pattern, base in _FRAMES:
