@@ -297,7 +297,10 @@ def sampler_7d(t, _):
     return S.sampler(t("policy_events"), bodies, AS_OF, 7, 200)
 
 
-@query(f"select event_id, 14 window_days from policy_events where access_ts is not null and epoch_us({_ASOF}) - epoch_us(access_ts) between 0 and 14 * 86400000000 and (select count(*) from policy_events where access_ts is not null and epoch_us({_ASOF}) - epoch_us(access_ts) between 0 and 14 * 86400000000) > 0")
+@query(
+    f"with k as (select event_id, epoch_us({_ASOF}) - epoch_us(access_ts) age from policy_events where access_ts is not null), w as (select case when count(*) filter (age between 0 and 14 * 86400000000) > 0 then 14 "
+    "when count(*) filter (age between 0 and 30 * 86400000000) > 0 then 30 when count(*) filter (age between 0 and 90 * 86400000000) > 0 then 90 end d from k) select event_id, d window_days from k, w where age between 0 and d * 86400000000"
+)
 def sampler_adaptive(t, _):
     return L.adaptive_window(t("policy_events"), "access_ts", AS_OF, (14, 30, 90)).select("event_id", "window_days")
 

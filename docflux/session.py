@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if Catalyst's own estimate proves it is at most this many bytes.
-BROADCAST_LIMIT = 32 * 1024 * 1024
+BROADCAST_LIMIT = 16 * 1024 * 1024
 
 
 def get_spark(app: str = "docflux", master: str | None = None, **conf: str) -> SparkSession:
