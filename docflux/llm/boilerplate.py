@@ -8,7 +8,7 @@ with them the branches that hang on them: lists of other pages' titles, cut-off
 span of the body. Two kinds of nodes stay although pages share them: those that bodies kept by an earlier harvest
 (clean_text) hold as well, such as headings, duties and set sentences (for rare lines: whose style they hold), and the page's own title above the body.
 
-Nulls give no rows; empty and blank texts have no lines. Lines are split at line feeds, numbered from 0, blank ones too.
+Nulls give no rows, repeated rows of a document give its lines once; empty and blank texts have no lines. Lines are split at line feeds, numbered from 0, blank ones too.
 Texts are read whole. Hosts of a few pages are judged by the tree of all hosts.
 """
 
@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 from docflux.functions.instants import MONTHS
 from docflux.llm.residue import document_lines
 from docflux.llm.spam import is_running_text, page_host
-from docflux.session import broadcast_if_small, materialize
+from docflux.session import broadcast_if_small, materialize, spread
 
 #: A node is of low importance up to this value; it must stand in LEAST_PAGES pages (of a host, or of all hosts) at least.
 IMPORTANCE, LEAST_PAGES = 0.6, 3
 #: Least hosts of a node that is judged by the tree of all hosts, and least ratio of harvested bodies to raw pages with it.
 LEAST_HOSTS, BODY_SHARE = 3, 0.2
+#: A node that no harvested body holds is the sites' (but for rows of numbered lists, such as registers) if this many bodies should hold it, were it content (listed lines, running text).
+EXPECTED, EXPECTED_TEXT = 4, 6
 
 _MONTHS = "|".join(sorted((m for m in MONTHS if m.isalpha() and len(m) > 2), key=len, reverse=True))
 _DATED = r"\s*\((?:[^()]{0,24}\d[^()]{0,24})\)\s*$|\s*(?:\.\.\.|…)\s*$"
@@ -59,35 +61,38 @@ def parts(line: Column) -> Column:
 
 
 def style_nodes(docs: DataFrame, text: str, with_host: bool) -> DataFrame:
-    """One row a non-blank line: doc_id, (host), line_no, key, bare (title key), running, cut, parts, sentences."""
-    lines = document_lines(docs, text, "host") if with_host else document_lines(docs, text)
+    """One row a non-blank line: doc_id, (host, content), line_no, key, bare (title key), running, cut, parts, sentences."""
+    lines = document_lines(docs, text, "host", "content") if with_host else document_lines(docs, text)
     line = F.col("line")
-    lines = lines.withColumn("cut", line.endswith(" ...") | line.endswith(" …")).withColumn("running", is_running_text(line) & ~F.col("cut"))
+    dated = line.endswith(")") & line.rlike(r"\(\d{1,2}\.? \p{L}{3,9}\.?\)$")  # as teasers are
+    lines = lines.withColumn("cut", line.endswith(" ...") | line.endswith(" …") | dated).withColumn("running", is_running_text(line) & ~F.col("cut"))
     running, cut = F.col("running"), F.col("cut")
-    keep = ["doc_id", "host", "line_no"] if with_host else ["doc_id", "line_no"]
-    return lines.select(*keep, node(line).alias("key"), F.when(~running, node(F.when(line.endswith(")") | cut, F.regexp_replace(line, _DATED, "")).otherwise(line))).alias("bare"), running, cut, F.when(~running & ~cut, shape(line)).alias("shape"), F.when(~running & ~cut, parts(line)).alias("parts"), F.when(running, sentences(line)).alias("sentences"))
+    keep = ["doc_id", "host", "content", "line_no"] if with_host else ["doc_id", "line_no"]
+    return lines.select(*keep, node(line).alias("key"), F.when(~running | ~line.rlike(r"[.?!…][\"'”’)]*$"), node(F.when(line.endswith(")") | cut, F.regexp_replace(line, _DATED, "")).otherwise(line))).alias("bare"), running, cut, F.when(~running & ~cut, shape(line)).alias("shape"), F.when(~running & ~cut, parts(line)).alias("parts"), F.when(running, sentences(line)).alias("sentences"), line.rlike(r"^\(?\d{1,3}[.)]\s").alias("numbered"))
 
 
 def site_tree(raw: DataFrame) -> DataFrame:
-    """(host, key): nodes of low importance on their host; raw holds one row a line."""
-    sizes = raw.groupBy("host").agg(F.count_distinct("doc_id").alias("m"))
-    whole = raw.select("host", "doc_id", "key")
-    inner = raw.where("size(parts) > 1").select("host", "doc_id", F.explode("parts").alias("key"))
+    """(host, key): nodes of low importance on their host; raw holds one row a line. Copies of a page count once."""
+    sizes = raw.groupBy("host").agg(F.count_distinct("content").alias("m"))
+    whole = raw.select("host", "content", "key")
+    inner = raw.where("size(parts) > 1").select("host", "content", F.explode("parts").alias("key"))
     spread = whole.unionByName(inner).distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST_PAGES)
     return spread.join(broadcast_if_small(sizes), "host").where(1 - F.log("k") / F.log("m") <= IMPORTANCE).select("host", "key")
 
 
 def corpus_nodes(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """(key, common, body): nodes that many pages of several hosts share, and nodes that harvested bodies hold as well."""
-    pages = raw.select("doc_id").distinct().count()
+    """(key, common, body, missing): nodes that many pages of several hosts share; nodes that harvested bodies hold as well; how many bodies should hold a node that none holds."""
+    pages = raw.agg(F.count_distinct("content")).head()[0]
+    ratio = clean.select("doc_id").distinct().count() / max(pages, 1)
     # a harvested body holds a node if it has the line, or the sentence inside a line
     bodies = clean.select("doc_id", F.explode(F.array_distinct(F.concat(F.array("key"), F.coalesce("sentences", F.expr("cast(array() as array<bigint>)"))))).alias("key")).distinct().groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    inner = raw.where("size(parts) > 1").select("host", "doc_id", F.explode("parts").alias("key"))
-    inner = inner.unionByName(raw.where("size(sentences) > 1").select("host", "doc_id", F.explode("sentences").alias("key")))
-    hosts = raw.select("host", "doc_id", "key").unionByName(inner).distinct().groupBy("key", "host").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.sum("k").alias("k"), F.count(F.lit(1)).alias("hosts"))
+    inner = raw.where("size(parts) > 1").select("host", "content", F.explode("parts").alias("key"))
+    inner = inner.unionByName(raw.where("size(sentences) > 1").select("host", "content", F.explode("sentences").alias("key")))
+    hosts = raw.select("host", "content", "key").unionByName(inner).distinct().groupBy("key", "host").agg(F.count(F.lit(1)).alias("k")).groupBy("key").agg(F.sum("k").alias("k"), F.count(F.lit(1)).alias("hosts"))
     both = hosts.join(bodies, "key", "left").fillna(0, ["c"])
     common = (F.col("hosts") >= LEAST_HOSTS) & (F.col("k") >= LEAST_PAGES) & (1 - F.log("k") / F.log(F.lit(float(max(pages, 2)))) <= IMPORTANCE)
-    return both.select("key", common.alias("common"), (F.col("c") >= BODY_SHARE * F.col("k")).alias("body")).where("common or body")
+    missing = F.when(F.col("c") == 0, F.col("k") * F.lit(float(ratio))).otherwise(0.0)
+    return both.select("key", common.alias("common"), (F.col("c") >= BODY_SHARE * F.col("k")).alias("body"), missing.alias("missing")).where(F.col("common") | F.col("body") | (F.col("missing") >= EXPECTED))
 
 
 def body_shapes(raw: DataFrame, clean: DataFrame) -> DataFrame:
@@ -99,17 +104,20 @@ def body_shapes(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
 def mark_lines(docs: DataFrame, raw_text: str = "raw_text", clean_text: str = "clean_text", title: str = "title") -> DataFrame:
     """(doc_id, line_no, main): every non-blank line of every non-NULL raw text, and whether it is main content."""
+    docs = spread(docs.select("doc_id", "source", "source_url", title, raw_text, clean_text))
     pages = docs.withColumn("host", page_host(docs)).where(F.col("doc_id").isNotNull())
-    raw = materialize(style_nodes(pages.select("doc_id", "host", raw_text), raw_text, True), "tree-raw")
-    clean = style_nodes(docs.select("doc_id", clean_text), clean_text, False).select("doc_id", "key", "shape", "sentences")
+    raw = materialize(style_nodes(pages.select("doc_id", "host", F.xxhash64(raw_text).alias("content"), raw_text), raw_text, True), "tree-raw")
+    clean = materialize(style_nodes(docs.select("doc_id", clean_text), clean_text, False).select("doc_id", "key", "shape", "sentences"), "tree-clean")
     low = materialize(site_tree(raw), "tree-low").withColumn("low", F.lit(True))
     known = materialize(corpus_nodes(raw, clean), "tree-corpus")
     shapes = materialize(body_shapes(raw, clean), "tree-shapes").withColumn("shaped", F.lit(True))
-    heads = materialize(pages.where(F.col(title).isNotNull() & (F.trim(title) != "")).select("doc_id", node(F.col(title)).alias("own")), "tree-titles")
+    heads = materialize(pages.where(F.col(title).isNotNull() & (F.trim(title) != "")).groupBy("doc_id").agg(F.min(node(F.col(title))).alias("own")), "tree-titles")
     titles = heads.select(F.col("own").alias("bare")).distinct().withColumn("titled", F.lit(True))
 
     rows = raw.join(broadcast_if_small(low), ["host", "key"], "left").join(broadcast_if_small(known), "key", "left").join(broadcast_if_small(titles), "bare", "left").join(broadcast_if_small(shapes), "shape", "left").join(heads, "doc_id", "left")
-    rows = rows.select("doc_id", "host", "line_no", "key", "running", "cut", "parts", "sentences", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("low", "common", "body", "titled", "shaped")), (F.col("key") == F.coalesce("own", F.lit(0))).alias("own"))
+    rows = rows.select("doc_id", "host", "line_no", "key", "running", "cut", "parts", "sentences", "numbered", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("low", "common", "body", "titled", "shaped")), F.coalesce("missing", F.lit(0.0)).alias("missing"), (F.col("key") == F.coalesce("own", F.lit(0))).alias("own"))
+
+    rows = materialize(rows, "tree-lines")  # three plans read it
 
     # importance of separated lines: the mean over their parts
     several = rows.where("size(parts) > 1").select("doc_id", "host", "line_no", F.explode("parts").alias("key"))
@@ -117,6 +125,7 @@ def mark_lines(docs: DataFrame, raw_text: str = "raw_text", clean_text: str = "c
     noise = F.coalesce("low", F.lit(False)) | F.coalesce("shared", F.lit(False)) | F.coalesce("titled", F.lit(False))
     menus = weights.groupBy("doc_id", "line_no").agg((F.avg(noise.cast("int")) >= 0.5).alias("menu"))
     # shared lines of running text: set sentences of bodies, or notices of the site
+    rows = rows.withColumn("common", F.col("common") | (~F.col("numbered") & (F.col("missing") >= F.when(F.col("running"), EXPECTED_TEXT).otherwise(EXPECTED))))
     set_lines = rows.where("running and (low or common) and not body and size(sentences) > 1").select("doc_id", "line_no", F.explode("sentences").alias("key"))
     set_lines = set_lines.join(broadcast_if_small(known.where("body").select("key")), "key", "left_semi").select("doc_id", "line_no").distinct().withColumn("set", F.lit(True))
     rows = rows.join(menus, ["doc_id", "line_no"], "left").join(set_lines, ["doc_id", "line_no"], "left")
@@ -124,7 +133,7 @@ def mark_lines(docs: DataFrame, raw_text: str = "raw_text", clean_text: str = "c
     shared = F.col("low") | F.col("common")
     code = (
         F.when(F.col("own"), "own")
-        .when(F.col("cut") | (F.col("titled") & ~F.col("running")), "noise")
+        .when(F.col("cut") | F.col("titled"), "noise")
         .when(F.col("body"), F.when(F.col("running"), "text").otherwise("item"))
         .when(F.col("running"), F.when(shared & F.col("set").isNull(), "noise").otherwise("text"))
         .when(shared | F.coalesce("menu", F.lit(False)), "noise")
@@ -137,7 +146,7 @@ def mark_lines(docs: DataFrame, raw_text: str = "raw_text", clean_text: str = "c
     above = F.col("first").isNull() | (F.col("line_no") < F.col("first"))
     inside = (F.col("line_no") > F.col("first")) & (F.col("line_no") < F.col("last"))
     main = F.when(F.col("code") == "own", above).otherwise(F.col("code").isin("text", "item") | ((F.col("code") == "rare") & F.coalesce(inside, F.lit(False))))
-    return rows.select("doc_id", "line_no", main.alias("main"), "code")
+    return rows.select("doc_id", "line_no", main.alias("main"), "code").dropDuplicates(["doc_id", "line_no"])
 
 
 def find_boilerplate(docs: DataFrame, leave_out: DataFrame | None = None, **columns: str) -> DataFrame:

@@ -16,6 +16,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.find_boilerplate(docs, leave_out=materialize(spam.find_spam(docs), "spam"))
 
 
+def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main content of every raw page."""
+    return boilerplate.main_content(table(spark, sf_dir, "documents"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that are spam of keywords, links or product tags."""
     return spam.find_spam(table(spark, sf_dir, "documents"))
@@ -82,5 +87,5 @@ def p8_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.redact(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_labels": p5_labels, "p8_found": p8_found, "p8_redacted": p8_redacted, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
+QUERIES = {"p5_found": p5_found, "p5_labels": p5_labels, "p8_found": p8_found, "p8_redacted": p8_redacted, "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_draws": p7_draws, "p7_shares": p7_shares}
 SQL: dict[str, str] = {}

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflux.llm.residue import document_lines
-from docflux.session import broadcast_if_small, materialize
+from docflux.session import broadcast_if_small, materialize, spread
 
 #: Hosts on which a stuffed phrase must stand in pages with evidence, and the least share of its pages that have some.
 SPAM_HOSTS, SPAM_SHARE = 3, 0.5
@@ -84,6 +84,7 @@ def stuffed_phrases(listed: DataFrame) -> DataFrame:
 
 def page_evidence(docs: DataFrame, text: str = "raw_text", title: str = "title") -> DataFrame:
     """(doc_id, spam_lines, spam_chars, own_chars, stuffed_title) of each page that has some evidence."""
+    docs = spread(docs.select("doc_id", "source", "source_url", title, text))
     pages = docs.withColumn("host", page_host(docs)).where(F.col("doc_id").isNotNull())
     heads = pages.where(F.col(text).isNotNull()).select("doc_id", F.coalesce(F.col(title), F.lit("")).alias("title"))
     hosts = pages.select("doc_id", "host", text)

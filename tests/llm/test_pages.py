@@ -93,6 +93,8 @@ def test_boilerplate(spark):
 def test_boilerplate_edges(spark):
     extra = [(900, None, None, None, None, None, None, None), (901, "a.example", None, None, "", None, "h", "l"), (902, "a.example", None, None, "\n\n", None, "h", "l")]
     df = spark.createDataFrame(corpus(40) + extra, SCHEMA)
+    once = sorted(map(tuple, B.find_boilerplate(df).collect()))
+    assert sorted(map(tuple, B.find_boilerplate(df.unionByName(df.where("doc_id = 7"))).collect())) == once
     assert not [r for r in B.find_boilerplate(df).collect() if r["doc_id"] >= 900]
     assert B.find_boilerplate(df.limit(0)).count() == 0
     some = df.where("raw_text is not null").select("doc_id").limit(5)
