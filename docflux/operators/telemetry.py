@@ -27,20 +27,19 @@ def top_failing_domains(rows: DataFrame, k: int) -> DataFrame:
     return top.select("domain", "failures", F.col("first.error").alias("error"), F.col("first.url").alias("error_url")).orderBy(F.desc("failures"), "domain").limit(k)
 
 
-def longest_streaks(events: DataFrame, status: str, seconds: int = 60, least: int = 3) -> DataFrame:
-    """The longest run of ``status`` in each authority's calls in time order, and whether it pauses (>= least) or trips (>= 2 least).
-
-    Runs are islands: calls of one authority are ordered by time once, in slices of a day that are then joined at their
-    borders, so that an authority with a third of all rows isn't one task: a slice gives its leading, trailing and longest
-    run, and slices (a few thousand a decade) are folded in order.
-    """
+def day_slices(events: DataFrame, status: str) -> DataFrame:
+    """(authority, day, longest, lead, trail, misses): the longest, leading and trailing run of ``status`` in each authority's calls of a day, in time order."""
     hit = (F.col("status_code_or_error") == status).cast("int")
     calls = events.where(F.col("ts").isNotNull() & F.col("status_code_or_error").isNotNull()).select("authority", F.to_date("ts").alias("day"), "ts", F.coalesce("url", F.lit("")).alias("url"), F.coalesce(hit, F.lit(0)).alias("hit"))
     day = Window.partitionBy("authority", "day").orderBy("ts", "url", "hit")
     calls = calls.withColumn("misses", F.sum(1 - F.col("hit")).over(day.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     islands = calls.groupBy("authority", "day", "misses").agg(F.sum("hit").alias("run"))
-    days = islands.groupBy("authority", "day").agg(F.max("run").alias("longest"), F.max(F.when(F.col("misses") == 0, F.col("run"))).alias("lead"), F.max_by("run", "misses").alias("trail"), F.max("misses").alias("misses"))
-    # fold the days: an unbroken day carries the run on, any other day ends it with its lead and begins one with its trail
+    return islands.groupBy("authority", "day").agg(F.max("run").alias("longest"), F.max(F.when(F.col("misses") == 0, F.col("run"))).alias("lead"), F.max_by("run", "misses").alias("trail"), F.max("misses").alias("misses"))
+
+
+def folded_slices(days: DataFrame) -> DataFrame:
+    """(authority, run, longest): slices of ``day_slices`` joined in order of their day (NULL first): the run that is open at the end, and the longest."""
+    # an unbroken day carries the run on, any other day ends it with its lead and begins one with its trail
     whole = F.col("misses") == 0
     order = Window.partitionBy("authority").orderBy("day")
     days = days.withColumn("epoch", F.sum(F.when(whole, 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -49,7 +48,18 @@ def longest_streaks(events: DataFrame, status: str, seconds: int = 60, least: in
     days = days.withColumn("open", carried)
     before = F.coalesce(F.lag("open").over(order), F.lit(0))
     days = days.withColumn("joined", F.when(whole, F.col("open")).otherwise(before + F.coalesce("lead", F.lit(0))))
-    best = days.groupBy("authority").agg(F.max(F.greatest("longest", "joined", "open")).alias("longest_run"))
+    last = F.max_by("open", F.struct(F.col("day").isNotNull(), F.col("day")))
+    return days.groupBy("authority").agg(last.alias("run"), F.max(F.greatest("longest", "joined", "open")).alias("longest"))
+
+
+def longest_streaks(events: DataFrame, status: str, seconds: int = 60, least: int = 3) -> DataFrame:
+    """The longest run of ``status`` in each authority's calls in time order, and whether it pauses (>= least) or trips (>= 2 least).
+
+    Runs are islands: calls of one authority are ordered by time once, in slices of a day that are then joined at their
+    borders, so that an authority with a third of all rows isn't one task: a slice gives its leading, trailing and longest
+    run, and slices (a few thousand a decade) are folded in order.
+    """
+    best = folded_slices(day_slices(events, status)).select("authority", F.col("longest").alias("longest_run"))
     return best.select("authority", "longest_run", (F.col("longest_run") >= least).alias("pauses"), (F.col("longest_run") >= 2 * least).alias("trips"))
 
 

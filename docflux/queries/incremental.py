@@ -38,7 +38,7 @@ def stream_first_sight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rate_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The running streak of 429 answers of each authority, by custom state."""
+    """The running streak of 429 answers of each authority, folded batch by batch."""
     return S.run_once(S.rate_guard(_calls(spark, sf_dir)), "rate-guard", "update").select("authority", "run", "longest", "action")
 
 

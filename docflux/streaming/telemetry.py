@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from docflux.operators.telemetry import day_slices, folded_slices
 from docflux.session import shared_dir
 
 
@@ -37,34 +36,48 @@ def sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "45 days")
     return rows.groupBy(F.session_window("ts", gap).alias("w"), "authority").agg(F.count(F.lit(1)).alias("calls")).select("authority", F.col("w.start").alias("begun"), F.col("w.end").alias("ended"), "calls")
 
 
-def _guard(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    run, longest = state.get if state.exists else (0, 0)
-    rows = pd.concat(list(batches)).sort_values("ts", kind="stable")
-    for status in rows["status_code_or_error"]:
-        run = run + 1 if status == "429" else 0
-        longest = max(longest, run)
-    state.update((run, longest))
-    yield pd.DataFrame({"authority": [key[0]], "run": [run], "longest": [longest], "action": ["trip" if longest >= 6 else "pause" if longest >= 3 else "go"]})
+@dataclass(frozen=True)
+class Folded:
+    """A stream of which each micro-batch is reduced and folded into one small table: ``step(batch, table so far or None)`` gives the next."""
 
+    rows: DataFrame
+    step: Callable[[DataFrame, DataFrame | None], DataFrame]
 
-def rate_guard(stream: DataFrame, salt: int = 1) -> DataFrame:
-    """The running streak of 429 answers of each authority and url bucket, kept as state across batches.
 
-    With ``salt`` above 1 an authority is watched in that many buckets of its urls, so that one of a third of all calls
-    isn't one task.
+def _guard(batch: DataFrame, before: DataFrame | None) -> DataFrame:
+    slices = day_slices(batch, "429")
+    if before is not None:  # what is known of an authority is its first slice: a broken one, so that only its run goes on
+        known = before.select("authority", F.lit(None).cast("date").alias("day"), "longest", F.lit(0).cast("bigint").alias("lead"), F.col("run").alias("trail"), F.lit(1).cast("bigint").alias("misses"))
+        slices = known.unionByName(slices)
+    action = F.when(F.col("longest") >= 6, "trip").when(F.col("longest") >= 3, "pause").otherwise("go")
+    return folded_slices(slices).select("authority", "run", "longest", action.alias("action"))
+
+
+def rate_guard(stream: DataFrame) -> Folded:
+    """The running and longest streak of 429 answers of each authority, kept across batches.
+
+    Batches count in the order of their arrival, the calls of a batch by time. Rows never reach Python or the state: a
+    batch is reduced to slices of an authority and day (as ``longest_streaks`` does), and these are folded into the
+    table of authorities. Calls without a time or an answer don't count; a NULL authority is one of its own.
     """
-    rows = stream.where("authority is not null and ts is not null").withColumn("authority", F.when(F.lit(salt) > 1, F.concat_ws("#", "authority", F.pmod(F.xxhash64("url"), F.lit(salt)))).otherwise(F.col("authority")))
-    return rows.select("authority", "ts", "status_code_or_error").groupBy("authority").applyInPandasWithState(_guard, "authority string, run int, longest int, action string", "run int, longest int", "update", GroupStateTimeout.NoTimeout)
+    return Folded(stream.select("authority", "url", "ts", "status_code_or_error"), _guard)
 
 
-def run_once(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Drain what has arrived into a table in the shared folder and read it; a second run over the same checkpoint adds only news."""
-    spark = stream.sparkSession
+def run_once(stream: DataFrame | Folded, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
+    """Drain what has arrived into a table in the shared folder and read it; a second run over the same checkpoint adds only news.
+
+    Of a ``Folded`` stream the table after the last batch is read; each batch begins with the one that the batch before it left.
+    """
+    rows = stream.rows if isinstance(stream, Folded) else stream
+    spark = rows.sparkSession
     out = f"{checkpoint or shared_dir(spark, name)}"
 
     def write(batch: DataFrame, number: int) -> None:
+        if isinstance(stream, Folded):
+            batch = stream.step(batch, batch.sparkSession.read.parquet(f"{out}/batch={number - 1:09d}") if number else None)
         batch.write.mode("overwrite").parquet(f"{out}/batch={number:09d}")  # a replayed batch replaces itself
 
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).foreachBatch(write).start()
+    query = rows.writeStream.outputMode(mode).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    done = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    return done.where(F.col("batch") == done.agg(F.max("batch")).head()[0]) if isinstance(stream, Folded) else done

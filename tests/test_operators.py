@@ -172,3 +172,23 @@ def test_stream_restart_adds_nothing(spark, tmp_path):
     assert streaming.run_once(streaming.first_sight(read(), keys), "t", checkpoint=str(tmp_path / "out")).count() == 40
     guard = streaming.run_once(streaming.rate_guard(read()), "g", "update", str(tmp_path / "guard")).collect()
     assert guard[0]["authority"] == "A" and guard[0]["longest"] >= 4 and guard[0]["action"] in ("pause", "trip")
+
+
+def test_rate_guard_is_the_longest_streak(spark, tmp_path):
+    rng = random.Random(11)
+    begin = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    schema = "authority string, url string, provider string, status_code_or_error string, ts timestamp"
+    rows = [(a, f"u{i}", "p", rng.choice(["429", "429", "429", "200", None]), begin + timedelta(hours=i * 5)) for i in range(90) for a in ("A", "B", None)]
+    rows += [("late", "u", "p", "429", begin), (None, "u", "p", "429", None)]
+    read = lambda: streaming.read_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+    for k, part in enumerate((rows[:100], rows[100:101], rows[101:])):  # days and runs go on across batches
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        got = {r["authority"]: r for r in streaming.run_once(streaming.rate_guard(read()), "g", "update", str(tmp_path / "out")).collect()}
+    assert set(got) == {"A", "B", None, "late"}
+    for a in got:
+        calls = [s for x, _, _, s, t in rows if x == a and s is not None and t is not None]
+        runs = [(s, len(list(g))) for s, g in groupby(calls)]
+        assert got[a]["longest"] == max((n for s, n in runs if s == "429"), default=0)
+        assert got[a]["run"] == (runs[-1][1] if runs[-1][0] == "429" else 0)
+    again = streaming.run_once(streaming.rate_guard(read()), "g", "update", str(tmp_path / "out"))
+    assert {r["authority"]: r for r in again.collect()} == got
