@@ -5,7 +5,8 @@ hash tags, runs of few words again and again, and priced rows of tags. Phrase sh
 scripts without spaces and for tags) of all list lines are exploded and counted over pages and distinct hosts: a phrase
 of SPAM_HOSTS hosts or more that stands mostly in pages with such evidence is a stuffed phrase, and list lines stitched
 from stuffed phrases are evidence too. A page is a case if its evidence outweighs the running text that is its own, which
-leaves out lines that other pages of its host repeat (menus, notices, footers).
+leaves out lines that other pages of its host repeat (menus, notices, footers). Copies of a page (one text) count as one
+page wherever pages are counted.
 
 Nulls, empty and blank texts are no case. Texts are read whole. Repeated doc_ids give one row. A NULL url leaves the
 host to ``source``, and a NULL source too to the empty host.
@@ -75,9 +76,9 @@ def phrase_shingles(line: Column) -> Column:
 
 
 def stuffed_phrases(listed: DataFrame) -> DataFrame:
-    """(phrase): phrases of rows (doc_id, host, strong, phrases) that SPAM_HOSTS hosts or more replicate in evidence pages."""
-    exploded = listed.select("doc_id", "host", "evident", F.explode("phrases").alias("phrase"))
-    pages = exploded.groupBy("phrase", "host", "doc_id").agg(F.max(F.col("evident").cast("int")).alias("evident"))
+    """(phrase): phrases of rows (content, host, evident, phrases) that SPAM_HOSTS hosts or more replicate in evidence pages."""
+    exploded = listed.select("content", "host", "evident", F.explode("phrases").alias("phrase"))
+    pages = exploded.groupBy("phrase", "host", "content").agg(F.max(F.col("evident").cast("int")).alias("evident"))
     hosts = pages.groupBy("phrase", "host").agg(F.count(F.lit(1)).alias("pages"), F.sum("evident").alias("evident"))
     return hosts.groupBy("phrase").agg(F.sum("pages").alias("pages"), F.sum("evident").alias("evident"), F.count_if(F.col("evident") > 0).alias("hosts")).where((F.col("hosts") >= SPAM_HOSTS) & (F.col("evident") >= SPAM_SHARE * F.col("pages"))).select("phrase")
 
@@ -87,21 +88,21 @@ def page_evidence(docs: DataFrame, text: str = "raw_text", title: str = "title")
     docs = spread(docs.select("doc_id", "source", "source_url", title, text))
     pages = docs.withColumn("host", page_host(docs)).where(F.col("doc_id").isNotNull())
     heads = pages.where(F.col(text).isNotNull()).select("doc_id", F.coalesce(F.col(title), F.lit("")).alias("title"))
-    hosts = pages.select("doc_id", "host", text)
-    lines = with_evidence(document_lines(hosts, text, "host"))
-    kept = lines.select("doc_id", "line_no", "host", "strong", "list", F.length("line").alias("chars"), F.when(F.col("list"), phrase_shingles(F.col("line"))).alias("phrases"), F.when(~F.col("list"), F.xxhash64(F.regexp_replace("line", r"\d+", "9"))).alias("key"))
+    hosts = pages.select("doc_id", "host", F.xxhash64(text).alias("content"), text)
+    lines = with_evidence(document_lines(hosts, text, "host", "content"))
+    kept = lines.select("doc_id", "line_no", "host", "content", "strong", "list", F.length("line").alias("chars"), F.when(F.col("list"), phrase_shingles(F.col("line"))).alias("phrases"), F.when(~F.col("list"), F.xxhash64(F.regexp_replace("line", r"\d+", "9"))).alias("key"))
     kept = materialize(kept, "spam-lines")
     evident = kept.groupBy("doc_id").agg((F.count_if("strong") >= LEAST_LINES).alias("evident")).where("evident")
     listed = kept.where("list").join(broadcast_if_small(materialize(evident, "spam-evident")), "doc_id", "left").fillna(False, ["evident"])
-    phrases = materialize(stuffed_phrases(listed.select("doc_id", "host", "evident", "phrases")), "spam-phrases")
+    phrases = materialize(stuffed_phrases(listed.select("content", "host", "evident", "phrases")), "spam-phrases")
 
     weak = kept.where("list and not strong and size(phrases) > 0").select("doc_id", "line_no", "chars", F.size("phrases").alias("all"), F.explode("phrases").alias("phrase"))
     stitched = weak.join(broadcast_if_small(phrases), "phrase", "left_semi").groupBy("doc_id", "line_no").agg(F.first("chars").alias("chars"), (F.count(F.lit(1)) >= STITCHED * F.first("all")).alias("stitched")).where("stitched").select("doc_id", "chars")
     spam = kept.where("strong").select("doc_id", "chars").unionByName(stitched).groupBy("doc_id").agg(F.count(F.lit(1)).alias("spam_lines"), F.sum("chars").alias("spam_chars"))
     spam = materialize(spam, "spam-pages")
 
-    running = kept.where("not list").select("doc_id", "host", "key", "chars")
-    site = running.select("doc_id", "host", "key").distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= SITE_PAGES).select("host", "key")
+    running = kept.where("not list").select("doc_id", "host", "content", "key", "chars")
+    site = running.select("content", "host", "key").distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= SITE_PAGES).select("host", "key")
     own = running.join(broadcast_if_small(spam.select("doc_id")), "doc_id", "left_semi").join(site, ["host", "key"], "left_anti").groupBy("doc_id").agg(F.sum("chars").alias("own_chars"))
     titles = heads.join(broadcast_if_small(spam.select("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode(phrase_shingles(F.col("title"))).alias("phrase")).join(broadcast_if_small(phrases), "phrase", "left_semi").select("doc_id").distinct().withColumn("stuffed_title", F.lit(True))
     return spam.join(own, "doc_id", "left").join(titles, "doc_id", "left").fillna(0, ["own_chars"]).fillna(False, ["stuffed_title"])

@@ -65,6 +65,21 @@ def test_spam_of_repeated_rows_and_empty_tables(spark):
     assert S.find_spam(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    body = [" ".join(s.format(f"{t} of the copied case {k}") for s, t in zip(SENTENCES, TOPICS)) for k in "wxyz"]
+    links = [f"{n} - https://other{n.lower()}.test/{i}" for i, n in enumerate(("Annex", "Report", "Minutes"))]  # a notice's references
+    text = "\n".join([*MENU["a.example"][:4], *body, *links, MENU["a.example"][4]])
+    copies = [(4000 + k, "a.example", f"https://a.example/c{k}", "Notice", text, None, "h", "l") for k in range(90)]
+    df = spark.createDataFrame(corpus() + spam_rows(1000) + copies, SCHEMA)
+    assert sorted(r["doc_id"] for r in S.find_spam(df).collect()) == [r[0] for r in spam_rows(1000)]
+
+
+def test_copies_stuff_no_phrase(spark):
+    # two pages without evidence hold the phrase; copies of one with evidence don't outvote them
+    rows = [(c, h, e, [7]) for h in "abc" for c, e in [(1, True), *[(1, True)] * 9, (2, False), (3, False)]]
+    assert S.stuffed_phrases(spark.createDataFrame([(10 * i + c, h, e, p, c) for i, (c, h, e, p) in enumerate(rows)], "doc_id bigint, host string, evident boolean, phrases array<bigint>, content bigint")).count() == 0
+
+
 def test_long_text_is_no_stuffing(spark):
     rng = random.Random(6)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(700)]
