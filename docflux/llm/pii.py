@@ -133,7 +133,7 @@ ADDRESSES = [
     rf"\d{{1,5}} {_N} (?:St\.|Street|Ave\.|Avenue|Rd\.|ST\.|AVE\.),? (?:Brgy\.|Barangay|BRGY\.) {_N}, (?:(?:Bayan|Lungsod|BAYAN|LUNGSOD) (?:ng|NG) )?{_N}(?: \d{{4}})?",
 ]
 ADDRESS = regex.compile(r"(?<![\w/#\-])(?:" + "|".join(ADDRESSES) + r")")
-_ADDRESS_HINT = re.compile(r"\d{4}|\d[A-Z\d]? ?\d[A-Z]{2}|thành phố|tỉnh|TỈNH|TP|Bayan|Lungsod|Brgy|THÀNH PHỐ|BAYAN|LUNGSOD")
+_ADDRESS_HINT = re.compile(r"\d{4}|\d[A-Z\d]? ?\d[A-Z]{2}|thành phố|tỉnh|TỈNH|TP|Bayan|Lungsod|Brgy|Barangay|THÀNH PHỐ|BAYAN|LUNGSOD|BRGY")
 
 # ---------------------------------------------------------------- persons
 _T = r"(?:(?:[DdOL]['’])?\p{Lu}[\p{L}\p{M}'’]+(?:-\p{Lu}[\p{L}\p{M}'’]+)*|\p{Lu}\.)"
@@ -145,6 +145,7 @@ _NAME = rf"(?P<name>{_LATIN}|{_THAI})"
 _TITLES = r"Mr|Mrs|Ms|Miss|Mx|Dr|Prof|Professor|Sir|Madam|Dame|Datuk|Dato['’]|Datin|Tan Sri|Encik|Puan|Cik|Tuan|Tn|Ny|Bapak|Bpk|Ibu|Sdr|Saudara|Herr|Frau|Monsieur|Madame|Mme|Mlle|M|Maître|ông|bà|anh|chị|Ông|Bà|Ginoong|Ginang|Gng|G|Bb|Hon|Atty|Engr|MR|MRS|MS|DR|ENCIK|PUAN|CIK|HERR|FRAU|MME|ÔNG|BÀ"
 # Frames: words before a name, and what must follow it.
 _END = r"(?=\s*(?:[,.;:()<\[\n/|]|$)|\s+(?:\p{Ll}|(?:OF|GAVE|WAS|WHO|YANG|DENGAN|NOMBOR|DI|LAG|UNTER)\b|\+?\(?\d))"
+_THAI_END = r"(?=\s+(?:โทร|อีเมล|เลข|ให้|ไม่|กล่าว)|\s*,)"
 FRAMES = [
     (rf"\b(?:{_TITLES})\.? {_NAME}{_END}", 2.0),
     (rf"(?:คุณ|นาย|นางสาว|นาง|ดร\.|น\.ส\.) ?{_NAME}(?=\s|$|[,.(])", 2.0),
@@ -164,14 +165,15 @@ FRAMES = [
     (rf"\b(?i:laut) {_NAME}(?=\s+(?i:lag|liegt|hat|war|ist|wurde)\b|\s*,)", 2.0),
     (rf"\b(?i:beantwortet|erteilt|stammt von|an|von) {_NAME}(?=\s+(?i:unter|per|über)\b|\s*,)", 2.0),
     (rf"\b(?i:gửi tới|liên hệ|do|của) {_NAME}(?=\s+(?i:qua|tại|theo)\b|\s*,)", 2.0),
-    (rf"(?:ผู้ร้องเรียนคือ|คำให้การของ|ตามที่|ติดต่อ|ส่งถึง|ที่) ?{_NAME}(?=\s+(?:โทร|อีเมล|เลข|ให้|ไม่|กล่าว)|\s*,)", 2.0),
+    (rf"(?:ผู้ร้องเรียนคือ|คำให้การของ|ตามที่|ติดต่อ|ส่งถึง|ที่) ?{_NAME}{_THAI_END}", 2.0),
 ]
 _FRAMES = [(regex.compile(p), s) for p, s in FRAMES]
 _NEAR = regex.compile(rf"(?:^|(?<=[\n;:(/]\s?)|(?<=[.!?] )){_NAME}(?=\s*[(</]|\s+(?:at|on|di|sa|au|unter|qua|via)\b)", regex.M)
-# One quick look at a line decides whether its names are looked for: a word of some frame before a capital (or Thai) letter.
+# One quick look at a line decides whether its names are looked for: a word of some frame before what a name begins with.
+_CAPITAL = rf"(?:[^\W\d_a-z]|d['’]|{_PART} (?:[^\W\d_a-z]|d['’]))"
 _PERSON_HINT = re.compile(
     r"\b(?:" + _TITLES + r"|(?i:to|with|of|by|from|neither|that|contact|call|reach|for|attention|attn|kontakt?|ansprechpartner|menurut|selon|theo|kay|gemäß|oleh|kepada|hubungi|lanjut|saudari|bernama|nama|ni|kina|si|nina|joindre|contacter|à|par|de|laut|beantwortet|erteilt|von|an|tới|hệ|do|của))[.:]? :? ?"
-    r"(?:[^\W\d_a-z]|d['’]|de |von |van )|คุณ|นาย|นาง|ดร\.|น\.ส\.|ผู้ร้องเรียนคือ|คำให้การของ|ตามที่|ติดต่อ|ส่งถึง|ที่ ?[ก-๛]+ [ก-๛]+ (?:โทร|อีเมล|เลข)"
+    rf"{_CAPITAL}|คุณ|นาย|นาง|ดร\.|น\.ส\.|ผู้ร้องเรียนคือ|คำให้การของ|ตามที่|ติดต่อ|ส่งถึง|ที่ ?(?:{_THAI}{_THAI_END}|(?![ก-๛]){_CAPITAL})"
 )
 _DIGITS = re.compile(r"\d(?:\D{0,4}\d){3}")
 # Words that make a capitalised name one of a firm, body, law, place or thing.

@@ -54,3 +54,20 @@ def test_frames(spark):
     got = P.find_pii(df).collect()
     assert len(got) == 2 * 3 + 3 and {(r["kind"], r["found"]) for r in got if r["doc_id"] == 4} == CASES[3][1]
     assert P.redact(df).count() == 5 and P.find_pii(df.limit(0)).count() == 0
+
+
+HINTED = [
+    ("address", "45 Mabini Street, Barangay Poblacion, Makati"),
+    ("address", "45 MABINI ST. BRGY. POBLACION, MAKATI"),
+    *(("person", f"An interview with {p} Cruz, Maria, was held.") for p in ("bin", "binti", "bte", "de los", "de las", "de la", "del", "dela", "de", "von", "van", "van der", "zu", "al", "el")),
+    *(("person", f"เอกสารที่ สมชาย ใจดี{end}") for end in (" โทร 1", " อีเมล", " เลข", " ให้การ", " ไม่มา", " กล่าว", ", พยาน")),
+    ("person", "เอกสารที่ Maria Cruz ให้การ"),
+]
+
+
+@pytest.mark.parametrize("kind, line", HINTED)
+def test_no_line_with_a_span_fails_its_hint(kind, line):
+    patterns, hint = ([P.ADDRESS], P._ADDRESS_HINT) if kind == "address" else ([p for p, _ in P._FRAMES], P._PERSON_HINT)
+    assert any(p.search(line) for p in patterns)
+    assert hint.search(line)
+    assert kind in {k for _, _, k, _ in P.spans(line)}
