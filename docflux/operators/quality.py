@@ -62,10 +62,14 @@ def dq_report(events: DataFrame, docs: DataFrame, as_of: str) -> DataFrame:
 
 
 def gate_reasons(pages: DataFrame, text: str = "raw_text", least: int = 700, most_links: float = 0.65, least_ascii: float = 0.60, english: Column | None = None) -> DataFrame:
-    """(doc_id, reasons): why a fetched page is dropped, joined by ';' (empty: it is kept); dup_hash marks later pages of one url and text."""
+    """(doc_id, reasons): why a fetched page is dropped, joined by ';' (empty: it is kept).
+
+    dup_hash marks later pages (by doc_id) of one title, url and first 400 characters of text: the reference's formula, so
+    versions of a page that differ only later count as repeated. No text is shuffled: equal rows are counted map-side,
+    and the first of each key is an aggregate that is joined back.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     key = F.sha2(F.concat(F.lower(F.trim(F.coalesce("title", F.lit("")))), F.lit("|"), F.coalesce("source_url", F.lit("")), F.lit("|"), F.substring(body, 1, 400)), 256)
-    seen = F.row_number().over(Window.partitionBy(key).orderBy("doc_id"))
     english = F.lit(True) if english is None else english
     reasons = F.array_compact(
         F.array(
@@ -73,10 +77,13 @@ def gate_reasons(pages: DataFrame, text: str = "raw_text", least: int = 700, mos
             F.when(T.not_found(F.col("title"), body), F.lit("not_found")),
             F.when(T.link_share(body) > most_links, F.lit("link_farm")),
             F.when(english & (T.ascii_ratio(body) < least_ascii), F.lit("non_english")),
-            F.when(F.col("_seen") > 1, F.lit("dup_hash")),
         )
     )
-    return pages.withColumn("_seen", seen).select("doc_id", F.array_join(reasons, ";").alias("reasons"))
+    alike = pages.select(key.alias("key"), F.struct("doc_id", F.array_join(reasons, ";").alias("reasons")).alias("page")).groupBy("key", "page").agg(F.count(F.lit(1)).alias("n"))
+    firsts = alike.groupBy("key").agg(F.min("page").alias("first"))  # NULL ids come first
+    each = alike.join(firsts, "key").select("page.*", (F.col("page") == F.col("first")).alias("first"), F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("at"))
+    repeated = F.when(~(F.col("first") & (F.col("at") == 1)), F.lit("dup_hash"))
+    return each.select("doc_id", F.concat_ws(";", F.when(F.col("reasons") != "", F.col("reasons")), repeated).alias("reasons"))
 
 
 def reason_breakdown(drops: DataFrame) -> DataFrame:

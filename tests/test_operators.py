@@ -122,6 +122,15 @@ def test_gate_reasons(spark):
     assert {r["doc_id"] for r in harvest.accepted_pages(df).collect()} == {1}
 
 
+def test_gate_reasons_shuffles_no_text(spark):
+    long = "Plain words of a notice. " * 40
+    rows = [(3, "t", "u", long), (None, "t", "u", long), (2, "t", "u", long), (2, "t", "u", long), (2, "t", "u", long[:500]), (7, "T ", "u", long + "later"), (9, "t", None, long), (9, "t", None, long)]
+    got = quality.gate_reasons(spark.createDataFrame(rows, "doc_id bigint, title string, source_url string, raw_text string"))
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = [(2, "dup_hash"), (2, "dup_hash"), (2, "thin;dup_hash"), (3, "dup_hash"), (7, "dup_hash"), (9, ""), (9, "dup_hash"), (None, "")]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 # ------------------------------------------------------------------ readers and writers
 def test_batch_results(spark, tmp_path):
     body = lambda b: {"response": {"body": b}}
