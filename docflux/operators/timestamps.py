@@ -34,11 +34,15 @@ def _same(left: DataFrame, right: DataFrame) -> Column:
 
 
 class TimestampDictionary:
-    """Distinct (spelling, zone, order, abbreviations) -> microseconds since the epoch, kept as Parquet under ``path``."""
+    """Distinct (spelling, zone, order, abbreviations) -> microseconds since the epoch, kept as Parquet under ``path``.
+
+    Without a path it is the one dictionary under ``spark.checkpoint.dir``, which later runs find and append to. Runs at
+    the same time may append a value twice; it is read once.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
-        self.path = f"{path or shared_dir(spark, 'timestamps')}/v{PARSER_VERSION}"
+        self.path = f"{path or shared_dir(spark, 'timestamps', new=False)}/v{PARSER_VERSION}"
 
     def _exists(self) -> bool:
         jvm, p = self.spark._jvm, self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -46,7 +50,9 @@ class TimestampDictionary:
 
     def read(self) -> DataFrame:
         """The dictionary so far; empty before the first update."""
-        return self.spark.read.schema(SCHEMA).parquet(self.path) if self._exists() else self.spark.createDataFrame([], SCHEMA)
+        if not self._exists():
+            return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(self.path).groupBy(*KEY).agg(F.min("utc_us").alias("utc_us"))
 
     def update(self, values: DataFrame) -> DataFrame:
         """Parse and append the values (columns of KEY) that aren't held yet; the whole dictionary comes back.

@@ -31,10 +31,10 @@ def get_spark(app: str = "docflux", master: str | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder that every executor can reach: under ``spark.checkpoint.dir`` if the cluster names one.
+def shared_dir(spark: SparkSession, name: str, new: bool = True) -> str:
+    """A folder that every executor can reach: under ``spark.checkpoint.dir`` if the cluster names one.
 
-    Only where that setting is absent (tests, local runs) is a temporary folder of this machine used.
+    It is a new one each time, or with ``new`` False the same for every run with that setting. Only where that setting is absent (tests, local runs) is a temporary folder of this machine used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
@@ -42,7 +42,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/docflux/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/docflux/{name}" + (f"-{uuid.uuid4().hex[:12]}" if new else "")
 
 
 def _local_scratch(app: str) -> str:

@@ -37,3 +37,15 @@ def test_empty_tables(spark):
     events = spark.createDataFrame([], "event_id string, authority string, pub_date string")
     assert event_instants(events, authorities(spark)).count() == 0
     assert event_instants(spark.createDataFrame([("e", "A", "2024-01-01")], events.schema), authorities(spark).limit(0)).count() == 0
+
+
+def test_later_runs_find_the_dictionary(spark):
+    first, raw = TimestampDictionary(spark), "1999-12-31 23:59:41"
+    values = spark.createDataFrame([(raw, "Asia/Singapore", "dmy", None)], "raw string, zone_id string, date_order string, zone_abbr string")
+    first.update(values)
+    again = TimestampDictionary(spark)
+    assert again.read().where(f"raw = '{raw}'").count() == 1
+    first.read().where(f"raw = '{raw}'").write.mode("append").parquet(str(again.path))  # as two runs at once may
+    rows = spark.createDataFrame([("A", raw)], "authority string, pub_date string")
+    zones = spark.createDataFrame([("A", "Asia/Singapore", "dmy", None)], "authority string, zone_id string, date_order string, zone_abbr string")
+    assert normalize_timestamps(rows, "pub_date", zones, again).count() == 1
