@@ -34,10 +34,13 @@ def get_spark(app: str = "docflux", master: str | None = None, **conf: str) -> S
 def shared_dir(spark: SparkSession, name: str, new: bool = True) -> str:
     """A folder that every executor can reach: under ``spark.checkpoint.dir`` if the cluster names one.
 
-    It is a new one each time, or with ``new`` False the same for every run with that setting. Only where that setting is absent (tests, local runs) is a temporary folder of this machine used.
+    It is a new one each time, or with ``new`` False the same for every run with that setting. Only where that setting is
+    absent and the master is local (tests) is a temporary folder of this machine used; on a cluster that would lose data.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + _local_scratch(spark.sparkContext.applicationId)
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -51,6 +54,12 @@ def _local_scratch(app: str) -> str:
     return path
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a table that was written to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = shared_dir(df.sparkSession, name)
