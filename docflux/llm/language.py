@@ -3,45 +3,61 @@
 The network reads a line's bytes in both directions with light gated recurrent units (an update gate, no reset gate) and
 gives each position a distribution over the languages; a line's evidence is the sum over its positions, a document's the
 sum over its lines. It is trained in numpy by backpropagation through time on a bounded sample of rows that carry a
-label (its activation x / (1 + |x|) is several times faster in numpy than tanh); as labels may be wrong, lines on which the first pass contradicts its label are left out of the second. Inference
-runs inside Arrow-batched tasks: lines of like length step together, so that every byte of every text is read.
-
-A text is mixed if the best path over its lines changes language, where each change costs SWITCH nats and short lines
-count less, so that a heading alone doesn't make a text mixed. NULL texts are left out; empty and blank texts have no language (NULL, confidence 0).
+label; as labels may be wrong, lines on which the first pass contradicts its label are left out of the second. A share of
+the sample, chosen by hash, is held out of both passes: on it the weight of a position's evidence (positions are not
+independent) and the cost of a change of language are calibrated. The same sample gives the same tagger on any machine,
+and a tagger that was trained once is kept in the shared folder under the hash of its sample. Inference runs inside
+Arrow-batched tasks: lines of like length step together, so that every byte of every text is read.
+
+A text is mixed if the best path over its lines, which begins and ends in the text's main language, changes it. A line
+counts by its words (capitalised ones half, addresses and numbers not), so that a heading or a contact line alone doesn't
+make a text mixed. NULL texts are left out; empty and blank texts have no language (NULL, confidence 0).
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflux.session import spread
+from docflux.session import finished, shared_dir, spread
 
+#: Raised whenever training changes, so that taggers kept by an older version aren't used.
+VERSION = 2
 LANGUAGES = ("en", "id", "ms", "vi", "th", "tl", "fr", "de")
 #: Units a direction; bytes of a training window; windows a batch; batches of the two passes.
-UNITS, WINDOW, BATCH, STEPS = 32, 80, 192, (320, 320)
-#: Bound of the training sample: labelled rows a language, and lines of each.
-SAMPLE_ROWS, SAMPLE_LINES = 400, 6
+UNITS, WINDOW, BATCH, STEPS = 32, 80, 64, (600, 1200)
+#: Bound of the training sample: labelled rows a language, and lines of each; one row in HELD_OUT is for calibration only.
+SAMPLE_ROWS, SAMPLE_LINES, HELD_OUT = 600, 8, 5
 #: Most of a label's lines that the second pass may leave out.
 WRONG_LABELS = 0.15
-#: Bytes of a line that step in one go (longer lines are read in parts), positions of an inference batch.
-PART, POSITIONS = 768, 1_500_000
-#: Weight of one position's log-probability (positions are not independent), the most that a line counts, cost of a change.
-WEIGHT, MOST, SWITCH = 0.15, 12.0, 5.0
-#: Characters from which a line counts in full; shorter ones count in proportion.
-FULL_LINE = 60
+#: Bytes of a line that step in one go, bytes before and after them that are read as well, positions of an inference batch.
+PART, CONTEXT, POSITIONS = 768, 96, 1_500_000
+#: Candidates for the weight of a position's log-probability, and bounds of the cost of a change (nats).
+WEIGHTS, CHANGES = (0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.45, 0.7, 1.0), (4.0, 7.0)
+#: Characters of words (see plain_length) from which a line counts in full (it then outweighs two changes by FULL); fewer count in proportion.
+FULL_LINE, FULL = 60, 1.2
 
 _SPACE, _DIGIT = re.compile(r"\s+"), re.compile(r"\d")
+_PLACE = re.compile(r"\S*[@＠]\S*|(?:https?://|www\.)\S+")
+_WORD = re.compile(r"[^\W\d_][^\s\d]*")
 
 
 def normal_bytes(line: str) -> bytes:
-    """What the network reads of a line: lower case, digits as 0, white space folded, a space before and after."""
-    return (" " + _DIGIT.sub("0", _SPACE.sub(" ", line.strip().lower())) + " ").encode("utf-8", errors="replace")
+    """What the network reads of a line: lower case, digits as 0, no addresses, white space folded, a space before and after."""
+    return (" " + _DIGIT.sub("0", _SPACE.sub(" ", _PLACE.sub(" ", line).strip().lower())) + " ").encode("utf-8", errors="replace")
+
+
+def plain_length(line: str) -> float:
+    """Characters of a line's words, half for capitalised ones (names, headings) unless the line is in capitals; none for addresses and numbers."""
+    line = _PLACE.sub(" ", line)
+    line = line.lower() if line.isupper() else line
+    return sum(len(w) if w[0] == w[0].lower() else len(w) / 2 for w in _WORD.findall(line))
 
 
 class ByteTagger:
@@ -58,7 +74,9 @@ class ByteTagger:
                 weights[f"W{d}"] = (rng.standard_normal((h, len(LANGUAGES))) / np.sqrt(h)).astype(np.float32)
                 weights[f"E{d}"][:, :h] -= 0.5  # gates begin rather closed: a longer memory
             weights["b"] = np.zeros(len(LANGUAGES), np.float32)
-        self.w = weights
+        self.w = dict(weights)
+        #: Weight of a position's log-probability and cost of a change of language.
+        self.calibration = tuple(map(float, self.w["calibration"])) if "calibration" in self.w else (0.15, 5.0)
 
     # ------------------------------------------------------------ training
     def _forward(self, x: np.ndarray, d: str) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +87,7 @@ class ByteTagger:
         for i in range(t):
             a = np.matmul(hs[i], u, out=acts[i])
             a += e[x[i]]
-            a /= 1 + np.abs(a)
+            np.tanh(a, out=a)
             hs[i + 1] = hs[i] + (0.5 * a[:, :h] + 0.5) * (a[:, h:] - hs[i])
         return acts, hs
 
@@ -83,7 +101,7 @@ class ByteTagger:
             dh = dh + dout[i]
             a = acts[i]
             z, c = 0.5 * a[:, :h] + 0.5, a[:, h:]
-            slope = (1 - np.abs(a)) ** 2
+            slope = 1 - a * a
             da[i, :, :h] = dh * (c - hs[i]) * 0.5 * slope[:, :h]
             da[i, :, h:] = dh * z * slope[:, h:]
             du += hs[i].T @ da[i]
@@ -122,6 +140,7 @@ class ByteTagger:
         rng = np.random.default_rng(seed)
         groups = [np.flatnonzero(labels == k) for k in range(len(LANGUAGES))]
         groups = [g for g in groups if len(g)]
+        self.w.pop("calibration", None)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.w.items()}
         hard = np.ones(len(groups))
@@ -148,21 +167,46 @@ class ByteTagger:
                 v2[k] = 0.99 * v2[k] + 0.01 * g * g
                 self.w[k] = (self.w[k] - lr * (m[k] / (1 - 0.9**i)) / (np.sqrt(v2[k] / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
 
+    def calibrate(self, held: list[tuple[str, str]]) -> None:
+        """Fit the weight and the cost of a change to rows that were not trained on.
+
+        The weight gives held-out lines the greatest likelihood if a label may be wrong; the cost is - log of the share of
+        neighbouring lines at which the best paths of the held-out texts change language.
+        """
+        texts = [([x for x in text.split("\n") if x.strip()], LANGUAGES.index(label)) for text, label in held]
+        if not texts:
+            return
+        evidence = self.evidence([normal_bytes(x) for t, _ in texts for x in t])
+        y = np.array([k for t, k in texts for _ in t])
+        ends = np.cumsum([len(t) for t, _ in texts])
+        likely = []
+        for w in WEIGHTS:
+            soft = np.exp(w * (evidence - evidence.max(axis=1, keepdims=True)))
+            picked = soft[np.arange(len(y)), y] / soft.sum(axis=1)
+            likely.append(max(np.log((1 - e) * picked + e / len(LANGUAGES)).sum() for e in (0.01, 0.02, 0.05, 0.1, 0.2)))
+        weight, change = WEIGHTS[int(np.argmax(likely))], sum(CHANGES) / 2
+        for _ in range(3):
+            paths = [best_path(evidence[b - len(t) : b], np.array([plain_length(x) for x in t]), weight, change) for (t, _), b in zip(texts, ends)]
+            changes = sum(int((p[1:] != p[:-1]).sum()) for p in paths)
+            change = float(np.clip(-np.log((changes + 1) / (len(y) + 1)), *CHANGES))
+        self.w["calibration"] = np.array([weight, change], np.float32)
+        self.calibration = (float(weight), change)
+
     # ------------------------------------------------------------ inference
     def evidence(self, lines: list[bytes]) -> np.ndarray:
         """(lines, languages): the sum over all positions of the log-probabilities that the network gives them."""
         out = np.zeros((len(lines), len(LANGUAGES)), np.float32)
-        parts = [(i, s[a : a + PART]) for i, s in enumerate(lines) for a in range(0, len(s), PART)]
+        parts = [(i, s[max(0, a - CONTEXT) : a + PART + CONTEXT], min(a, CONTEXT), min(PART, len(s) - a)) for i, s in enumerate(lines) for a in range(0, len(s), PART)]
         parts.sort(key=lambda x: -len(x[1]))
         at = 0
         while at < len(parts):
             longest = len(parts[at][1])
             take = parts[at : at + max(1, min(1024, POSITIONS // longest))]
-            np.add.at(out, [i for i, _ in take], self._block([s for _, s in take]))
+            np.add.at(out, [i for i, *_ in take], self._block([s for _, s, *_ in take], np.array([a for *_, a, _ in take]), np.array([n for *_, n in take])))
             at += len(take)
         return out
 
-    def _block(self, parts: list[bytes]) -> np.ndarray:
+    def _block(self, parts: list[bytes], begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
         lengths = np.array([len(s) for s in parts])  # descending
         t, b, h, k = int(lengths[0]), len(parts), UNITS, len(LANGUAGES)
         x = np.zeros((b, t), np.intp)
@@ -185,11 +229,9 @@ class ByteTagger:
                 np.matmul(s, u[1], out=c)
                 for q in (0, 1):
                     np.take(e[q], x[i, :n], axis=0, out=g[q], mode="clip")
-                    v, r = a[q], g[q]
-                    v += r
-                    np.abs(v, out=r)
-                    r += 1
-                    v /= r
+                    v = a[q]
+                    v += g[q]
+                    np.tanh(v, out=v)
                 z *= 0.5
                 z += 0.5
                 c -= s
@@ -200,23 +242,32 @@ class ByteTagger:
         scores += self.w["b"]
         scores -= scores.max(axis=2, keepdims=True)
         scores -= np.log(np.exp(scores).sum(axis=2, keepdims=True))
-        scores *= (np.arange(t)[:, None] < lengths[None, :])[:, :, None]
+        place = np.arange(t)[:, None] - begins[None, :]  # context is read but not counted
+        scores *= ((place >= 0) & (place < counts[None, :]))[:, :, None]
         return scores.sum(axis=0)
 
 
-def best_path(evidence: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The language of each line: Viterbi over the lines of a text with a cost for each change of language."""
-    score = evidence * WEIGHT
+def best_path(evidence: np.ndarray, lengths: np.ndarray, weight: float, change: float) -> np.ndarray:
+    """The language of each line: Viterbi over the lines of a text, each change of language costs ``change``.
+
+    The path begins and ends in the language that has most evidence over the whole text, so that a first or last line
+    needs as much evidence for another language as one between others. ``lengths`` are the lines' plain lengths.
+    """
+    score = evidence * weight
     score = score - score.max(axis=1, keepdims=True)
-    score = np.maximum(score, -MOST * np.minimum(1.0, lengths / FULL_LINE)[:, None])
-    best, back = score[0].copy(), np.zeros(score.shape, np.int64)
+    score = np.maximum(score, -2 * FULL * change * np.minimum(1.0, lengths / FULL_LINE)[:, None])
+    amount = np.zeros(score.shape[1])
+    np.add.at(amount, score.argmax(axis=1), lengths + 1e-3)
+    away = np.full(score.shape[1], change)
+    away[int(amount.argmax())] = 0
+    best, back = score[0] - away, np.zeros(score.shape, np.int64)
     for i in range(1, len(score)):
         top = int(best.argmax())
-        change = best[top] - SWITCH
-        back[i] = np.where(best >= change, np.arange(len(best)), top)
-        best = np.maximum(best, change) + score[i]
+        changed = best[top] - change
+        back[i] = np.where(best >= changed, np.arange(len(best)), top)
+        best = np.maximum(best, changed) + score[i]
     path = np.empty(len(score), np.int64)
-    path[-1] = int(best.argmax())
+    path[-1] = int((best - away).argmax())
     for i in range(len(score) - 1, 0, -1):
         path[i - 1] = back[i, path[i]]
     return path
@@ -230,14 +281,20 @@ def training_sample(texts: DataFrame, text: str, label: Column, rows: int = SAMP
         return []
     share = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, rows / n)))))
     few = known.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("label")] * (1 << 20))
-    return [(r["text"], r["label"]) for r in few.select("text", "label", "h").orderBy("h").collect()]
+    return [(r["text"], r["label"]) for r in few.select("text", "label", "h").orderBy("h", "label").collect()]
 
 
 def train(sample: list[tuple[str, str]], seed: int = 7, steps: tuple[int, int] = STEPS) -> ByteTagger:
-    """A tagger fitted to (text, label) rows in two passes; the second leaves out lines that contradict their label."""
+    """A tagger fitted to (text, label) rows in two passes; the second leaves out lines that contradict their label.
+
+    One row in HELD_OUT, by its hash, is left out of both passes; copies of a text fall on the same side.
+    """
     rng = np.random.default_rng(seed)
-    lines, labels = [], []
+    lines, labels, held = [], [], []
     for text, label in sample:
+        if int(hashlib.md5(text.encode("utf-8", errors="replace")).hexdigest()[:8], 16) % HELD_OUT == 0:
+            held.append((text, label))
+            continue
         own = [x for x in text.split("\n") if len(x.strip()) >= 8]
         for i in sorted(rng.permutation(len(own))[:SAMPLE_LINES]):
             lines.append(normal_bytes(own[i]))
@@ -253,15 +310,28 @@ def train(sample: list[tuple[str, str]], seed: int = 7, steps: tuple[int, int] =
         own = np.flatnonzero(y == k)
         keep[own[np.argsort(margin[own], kind="stable")][: int(np.ceil((1 - WRONG_LABELS) * len(own)))]] = True
     tagger.fit([s for s, ok in zip(lines, keep) if ok], y[keep], steps[1], seed + 1, 0.008)
+    tagger.calibrate(held)
     return tagger
 
 
-def label_text(lines: list[str], evidence: np.ndarray) -> tuple[str, float, list[tuple[int, str, float]]]:
+def trained(spark: SparkSession, sample: list[tuple[str, str]]) -> ByteTagger:
+    """The tagger of a sample: read from the shared folder if it was trained before, else trained and kept there."""
+    told = hashlib.md5(repr((VERSION, UNITS, WINDOW, BATCH, STEPS, SAMPLE_LINES, HELD_OUT, WRONG_LABELS, sample)).encode("utf-8", errors="replace")).hexdigest()
+    path = shared_dir(spark, f"language-{told}", new=False)
+    if not finished(spark, path):
+        weights = train(sample).w
+        rows = [(k, list(v.shape), [float(x) for x in v.ravel()]) for k, v in weights.items()]
+        spark.createDataFrame(rows, "name string, shape array<int>, weights array<float>").coalesce(1).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path).collect()  # the network's seven tables and its calibration
+    return ByteTagger({r["name"]: np.array(r["weights"], np.float32).reshape(r["shape"]) for r in rows})
+
+
+def label_text(lines: list[str], evidence: np.ndarray, weight: float, change: float) -> tuple[str, float, list[tuple[int, str, float]]]:
     """Language and confidence of a text, and of each of its non-blank lines, from the lines' evidence."""
     numbers = [i for i, x in enumerate(lines) if x.strip()]
     sizes = np.array([len(lines[i].strip()) for i in numbers])
-    path = best_path(evidence, sizes)
-    soft = np.exp(np.maximum(evidence * WEIGHT - (evidence * WEIGHT).max(axis=1, keepdims=True), -30))
+    path = best_path(evidence, np.array([plain_length(lines[i]) for i in numbers]), weight, change)
+    soft = np.exp(np.maximum(evidence * weight - (evidence * weight).max(axis=1, keepdims=True), -30))
     soft /= soft.sum(axis=1, keepdims=True)
     amount = np.zeros(len(LANGUAGES))
     np.add.at(amount, path, sizes)
@@ -284,7 +354,7 @@ def _labels(weights: dict[str, np.ndarray], keys: int):
                 evidence = tagger.evidence([normal_bytes(x) for t in spoken for x in t])
                 langs, sure, segments, at = [], [], [], 0
                 for t, s in zip(texts, spoken):
-                    lang, confidence, lines = label_text(t, evidence[at : at + len(s)]) if s else (None, 0.0, [])
+                    lang, confidence, lines = label_text(t, evidence[at : at + len(s)], *tagger.calibration) if s else (None, 0.0, [])
                     at += len(s)
                     langs.append(lang), sure.append(confidence), segments.append([{"seg_no": n, "lang": k, "confidence": c} for n, k, c in lines])
                 yield pa.RecordBatch.from_arrays([*batch.columns[:keys], pa.array(langs, pa.string()), pa.array(sure, pa.float64()), pa.array(segments, pa.list_(_RESULT))], names=[*batch.schema.names[:keys], "lang", "confidence", "segments"])
@@ -308,8 +378,11 @@ def label_code(label: Column) -> Column:
 
 
 def find_mislabelled(labelled: DataFrame) -> DataFrame:
-    """(rec_type, rec_id, seg_no, lang) from rows with ``label``: texts of missing or wrong label as seg_no -1, and every line of mixed texts."""
+    """(rec_type, rec_id, seg_no, lang) from rows with ``label``: texts of missing or wrong label as seg_no -1, and every line of mixed texts.
+
+    An event with several summaries gives the rows of each of them, equal ones once.
+    """
     known = labelled.where("lang is not null")
     wrong = known.where(~F.coalesce(F.col("label") == F.col("lang"), F.lit(False))).select("rec_type", "rec_id", F.lit(-1).alias("seg_no"), "lang")
     mixed = known.where(F.size(F.array_distinct(F.transform("segments", lambda s: s["lang"]))) > 1).select("rec_type", "rec_id", F.explode("segments").alias("s"))
-    return wrong.unionByName(mixed.select("rec_type", "rec_id", F.col("s.seg_no").alias("seg_no"), F.col("s.lang").alias("lang")))
+    return wrong.unionByName(mixed.select("rec_type", "rec_id", F.col("s.seg_no").alias("seg_no"), F.col("s.lang").alias("lang"))).distinct()

@@ -39,8 +39,8 @@ def _labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = docs.join(broadcast_if_small(residues), "doc_id", "left_anti")
     documents = kept.select(F.lit("document").alias("rec_type"), F.col("doc_id").cast("string").alias("rec_id"), "label", F.col("clean_text").alias("text"))
     events = table(spark, sf_dir, "policy_events").where("summary_en is not null and event_id is not null")
-    summaries = events.groupBy("event_id").agg(F.max("summary_en").alias("text")).select(F.lit("summary").alias("rec_type"), F.col("event_id").alias("rec_id"), F.lit("en").alias("label"), "text")
-    tagger = language.train(language.training_sample(kept, "clean_text", F.col("label")))
+    summaries = events.select(F.lit("summary").alias("rec_type"), F.col("event_id").alias("rec_id"), F.lit("en").alias("label"), F.col("summary_en").alias("text")).distinct()
+    tagger = language.trained(spark, language.training_sample(kept, "clean_text", F.col("label")))
     return language.label_languages(documents.unionByName(summaries), tagger, "text", ["rec_type", "rec_id", "label"])
 
 
