@@ -6,6 +6,8 @@ NULL authorities form a group of their own, told apart from the total by ``group
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,3 +100,41 @@ def delta(before: DataFrame, after: DataFrame) -> DataFrame:
 def activity_by_day(events: DataFrame, stamp: str) -> DataFrame:
     """Tumbling daily counts."""
     return events.where(F.col(stamp).isNotNull()).groupBy(F.date_format(stamp, "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def embedded_documents(events: DataFrame, docs: DataFrame) -> DataFrame:
+    """Documents of events, those of embedded events and of events with a model, by authority and in all (GLOBAL).
+
+    Documents meet an event's deliveries, so they are counted once each.
+    """
+    rows = docs.select("event_id", "doc_id").join(events.select("event_id", "authority", "embedding_model", F.col("embedding").isNotNull().alias("embedded")), "event_id")
+    once = rows.groupBy("authority", "doc_id", "embedding_model").agg(F.max("embedded").alias("embedded"))
+    counts = [F.count_distinct("doc_id").alias("docs"), F.count_distinct(F.when(F.col("embedded"), F.col("doc_id"))).alias("embedded"), F.count_distinct(F.when(F.col("embedding_model").isNotNull(), F.col("doc_id"))).alias("with_model"), F.count_distinct("embedding_model").alias("models")]
+    sets = once.rollup("authority").agg(F.grouping("authority").alias("g"), *counts)
+    return sets.select(F.when(F.col("g") == 1, "GLOBAL").otherwise(F.col("authority")).alias("authority"), "docs", "embedded", "with_model", "models", pct(F.col("embedded"), F.col("docs"), 1).alias("embedded_pct"))
+
+
+def global_counts(events: DataFrame, docs: DataFrame) -> DataFrame:
+    """(metric, value): events, summaries, embeddings, models, documents, joined documents and events without any."""
+    own = events.agg(F.count(F.lit(1)).alias("events"), *(F.count(c).alias(f"with_{c}") for c in ("summary_en", "summary_model", "embedding", "embedding_model")))
+    total = docs.agg(F.count(F.lit(1)).alias("documents"))
+    joined = docs.select("event_id").join(events.select("event_id", F.col("embedding").isNotNull().alias("v"), F.col("embedding_model").isNotNull().alias("m")), "event_id").agg(F.count_if("v").alias("joined_embedded"), F.count_if("m").alias("joined_with_model"))
+    without = events.join(docs.select("event_id"), "event_id", "left_anti").agg(F.count(F.lit(1)).alias("events_without_docs"))
+    parts = [one.unpivot([], one.columns, "metric", "value") for one in (own, total, joined, without)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def enrichment_since(events: DataFrame, since: str, payload: str, model: str, name: str) -> DataFrame:
+    """Events since a day, those with ``payload``, and those whose ``model`` is ``name``, by authority, with shares."""
+    rows = events.where(F.col("access_ts") >= F.lit(since).cast("timestamp")).groupBy("authority").agg(F.count(F.lit(1)).alias("n"), F.count(payload).alias("filled"), F.count_if(F.col(model) == name).alias("with_new"), F.count_distinct(model).alias("models"))
+    return rows.select("*", pct(F.col("filled"), F.col("n"), 1).alias("filled_pct"), pct(F.col("with_new"), F.col("n"), 1).alias("new_pct"))
+
+
+def sliding_counts(rows: DataFrame, stamp: str, days: int = 7) -> DataFrame:
+    """(authority, last_day, n): rows of the ``days`` days that end with each day, for every day on which a window holds any.
+
+    Rows are counted by day first, so that only counts are spread over windows.
+    """
+    daily = rows.where(F.col(stamp).isNotNull()).groupBy("authority", F.to_date(stamp).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    spread = daily.select("authority", "n", F.explode(F.sequence("day", F.date_add("day", days - 1))).alias("last_day"))
+    return spread.groupBy("authority", "last_day").agg(F.sum("n").alias("n"))

@@ -34,6 +34,22 @@ def insert_missing(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return target.unionByName(source.join(target.select(key), key, "left_anti").select(*target.columns))
 
 
+def get_or_create(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., outcome): each key of ``source`` once, 'created' if ``target`` lacks it, else 'found'. Rows with a NULL key are left out."""
+    wanted = source.where(" and ".join(f"{k} is not null" for k in keys)).select(*keys).distinct()
+    held = target.select(*keys).distinct().withColumn("_held", F.lit(True))
+    return wanted.join(held, keys, "left").select(*keys, F.when(F.col("_held"), "found").otherwise("created").alias("outcome"))
+
+
+def link_backfill(events: DataFrame, docs: DataFrame, least: int = 400) -> DataFrame:
+    """(event_id, doc_id): for each event without a document of ``least`` characters, such a document of its url (the latest, then least doc_id)."""
+    good = docs.where(F.length("clean_text") >= least)
+    poor = events.where("event_id is not null and url is not null").select("event_id", "url").distinct().join(good.select("event_id"), "event_id", "left_anti")
+    newest = F.max_by("doc_id", F.struct(F.col("created_at").isNotNull(), "created_at", -F.col("doc_id")))
+    by_url = good.where("source_url is not null").groupBy(F.col("source_url").alias("url")).agg(newest.alias("doc_id"))
+    return poor.join(by_url, "url").groupBy("event_id").agg(F.min("doc_id").alias("doc_id"))
+
+
 def insert_variant(target: DataFrame, source: DataFrame) -> DataFrame:
     """Source documents to insert (source_url, event_id): the url itself if free, else url#event=id if that is free, else nothing."""
     taken = target.where("source_url is not null").select(F.col("source_url").alias("u")).distinct()

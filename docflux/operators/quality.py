@@ -75,7 +75,7 @@ def gate_reasons(pages: DataFrame, text: str = "raw_text", least: int = 700, mos
         F.array(
             F.when(F.length(body) < least, F.lit("thin")),
             F.when(T.not_found(F.col("title"), body), F.lit("not_found")),
-            F.when(T.link_share(body) > most_links, F.lit("link_farm")),
+            F.when(T.markdown_link_share(body) > most_links, F.lit("link_farm")),
             F.when(english & (T.ascii_ratio(body) < least_ascii), F.lit("non_english")),
         )
     )
@@ -86,6 +86,27 @@ def gate_reasons(pages: DataFrame, text: str = "raw_text", least: int = 700, mos
     return each.select("doc_id", F.concat_ws(";", F.when(F.col("reasons") != "", F.col("reasons")), repeated).alias("reasons"))
 
 
+def markdown_gate(pages: DataFrame, text: str = "raw_text", least: int = 700, most_links: float = 0.65, least_ascii: float = 0.60) -> DataFrame:
+    """(doc_id, reasons): why the markdown of a page is dropped, joined by ';' (empty: it is kept)."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    reasons = F.array_compact(
+        F.array(
+            F.when(body == "", F.lit("no_markdown")),
+            F.when(F.length(body) < least, F.lit("too_short")),
+            F.when(F.coalesce("source_url", F.lit("")) == "", F.lit("no_url")),
+            F.when(T.not_found(F.col("title"), body), F.lit("not_found")),
+            F.when(T.markdown_link_share(body) > most_links, F.lit("link_farm")),
+            F.when(T.ascii_ratio(body) < least_ascii, F.lit("non_english")),
+        )
+    )
+    return pages.select("doc_id", F.array_join(reasons, ";").alias("reasons"))
+
+
+def overall(checks: DataFrame) -> DataFrame:
+    """(checks, failed, passed): one row on all rows of (check, value, ok)."""
+    return checks.agg(F.count(F.lit(1)).alias("checks"), F.count_if(~F.col("ok")).alias("failed"), F.coalesce(F.min("ok"), F.lit(True)).alias("passed"))
+
+
 def reason_breakdown(drops: DataFrame) -> DataFrame:
     """How often each reason occurs in ';'-joined lists."""
     return drops.where(F.col("reason").isNotNull()).select(F.explode(F.split("reason", ";")).alias("reason")).where("reason <> ''").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

@@ -7,24 +7,33 @@ from pyspark.sql import functions as F
 
 from docflux.functions.text import error_class, netloc
 from docflux.operators.coverage import pct
+from docflux.session import broadcast_if_small
 
 #: Statuses that are no failure.
 FINE = ("ok", "200", "fallback")
 
 
 def failures(events: DataFrame, errors: DataFrame) -> DataFrame:
-    """One row a failure of either log: domain, url, error, sequence key for first-seen choices."""
+    """One row a failure of either log: domain, url, error, seq. Both logs carry ``arrival`` (see ``sources.tables.arrival``).
+
+    ``seq`` is the order in which failures are seen: first the error log, then the calls, each in its order of arrival.
+    """
     a = events.where(F.col("status_code_or_error").isNotNull() & ~F.col("status_code_or_error").isin(*FINE) & (F.col("status_code_or_error") != ""))
-    a = a.select(netloc(F.col("url")).alias("domain"), "url", F.coalesce("notes", "status_code_or_error").alias("error"))
-    b = errors.where(F.col("status").isNotNull() & ~F.col("status").isin(*FINE)).select("domain", "url", "error")
+    a = a.select(netloc(F.col("url")).alias("domain"), "url", F.coalesce("notes", "status_code_or_error").alias("error"), F.struct(F.lit(1).alias("log"), "arrival").alias("seq"))
+    b = errors.where(F.col("status").isNotNull() & ~F.col("status").isin(*FINE)).select("domain", "url", "error", F.struct(F.lit(0).alias("log"), "arrival").alias("seq"))
     return a.unionByName(b)
 
 
+def first_told(value: Column, *more: Column) -> Column:
+    """Aggregate: the struct (seq, value, more...) of the first row, by ``seq``, whose ``value`` isn't empty."""
+    return F.min(F.when(F.coalesce(value, F.lit("")) != "", F.struct(F.col("seq"), value, *more)))
+
+
 def top_failing_domains(rows: DataFrame, k: int) -> DataFrame:
-    """The k domains of most failures with their least non-empty error text and its url; ties by domain."""
-    text = F.when(F.coalesce(F.col("error"), F.lit("")) != "", F.struct(F.left("error", F.lit(100)).alias("error"), F.col("url")))
-    top = rows.where("domain is not null").groupBy("domain").agg(F.count(F.lit(1)).alias("failures"), F.min(text).alias("first"))
-    return top.select("domain", "failures", F.col("first.error").alias("error"), F.col("first.url").alias("error_url")).orderBy(F.desc("failures"), "domain").limit(k)
+    """The k domains of most failures with the error text that was seen first and its url; ties by first appearance."""
+    told = first_told(F.left("error", F.lit(100)).alias("error"), F.col("url"))
+    top = rows.where("domain is not null").groupBy("domain").agg(F.count(F.lit(1)).alias("failures"), F.min("seq").alias("seen"), told.alias("first"))
+    return top.orderBy(F.desc("failures"), "seen").limit(k).select("domain", "failures", F.col("first.error").alias("error"), F.col("first.url").alias("error_url"))
 
 
 def day_slices(events: DataFrame, status: str) -> DataFrame:
@@ -90,7 +99,7 @@ def token_totals(chunks: DataFrame, stage: Column) -> DataFrame:
 def costs(chunks: DataFrame, prices: DataFrame) -> DataFrame:
     """Cost of each model's tokens at ``prices`` (model, usd_per_million); models without a price cost 0 and are marked."""
     used = chunks.groupBy(F.coalesce("embedding_model", F.lit("(none)")).alias("model")).agg(F.sum("token_estimate").alias("tokens"))
-    priced = used.join(F.broadcast(prices), "model", "left")  # a price list is a few rows
+    priced = used.join(broadcast_if_small(prices), "model", "left")
     return priced.select("model", "tokens", F.round(F.coalesce(F.col("tokens") / 1e6 * F.col("usd_per_million"), F.lit(0.0)), 6).alias("cost"), F.col("usd_per_million").isNull().alias("unpriced"))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from docflux.functions import text as T
 from docflux.plans import harvest
-from docflux.session import broadcast_if_small
 from docflux.sources.tables import table
 from docflux.streaming import telemetry as S
 
@@ -26,14 +25,14 @@ def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_daily_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling daily counts by Structured Streaming, drained once."""
-    rows = S.run_once(S.daily_calls(_calls(spark, sf_dir), "3650 days"), "daily-calls", "complete")
-    last = rows.agg(F.max("batch").alias("batch"))
-    return rows.join(broadcast_if_small(last), "batch").select("authority", F.unix_micros("day").alias("day_us"), "calls", "limited")
+    rows = S.run_once(S.daily_calls(_calls(spark, sf_dir)), "daily-calls", "update")
+    last = rows.groupBy("authority", "day").agg(F.max_by(F.struct("calls", "limited"), "batch").alias("last"))  # a window's newest update
+    return last.select("authority", F.unix_micros("day").alias("day_us"), "last.calls", "last.limited")
 
 
 def stream_first_sight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines without their repetitions, by streaming deduplication within the watermark."""
-    rows = S.first_sight(_calls(spark, sf_dir), ["authority", "url", "provider", "status_code_or_error", "ts"], "3650 days")
+    rows = S.first_sight(_calls(spark, sf_dir), ["authority", "url", "provider", "status_code_or_error", "ts"])
     return S.run_once(rows, "first-sight").select("authority", "url", "provider", "status_code_or_error", F.unix_micros("ts").alias("ts_us"))
 
 

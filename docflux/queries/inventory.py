@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docflux.functions import text as T
@@ -11,10 +10,12 @@ from docflux.operators import discovery as D
 from docflux.operators import merge as M
 from docflux.operators import quality as Q
 from docflux.operators import selection as S
+from docflux.operators import telemetry as L
 from docflux.queries import reference as R
-from docflux.queries.reference import AS_OF, MODEL, query
+from docflux.queries.reference import AS_OF, MODEL
+from docflux.queries.registry import registry
 
-_HERE = {"names": set(R.QUERIES)}
+query, QUERIES, SQL = registry()
 _ASOF = R._ASOF
 _J = R._J
 _pct = R._pct
@@ -27,9 +28,13 @@ def bad_scheme_urls(t, _):
     return t("policy_events").where(Q.bad_scheme(F.col("url"))).select("event_id", "pub_date", "url")
 
 
-@query(f"select authority, count(*) n, count(access_ts) with_access, {_pct('count(access_ts)', 'count(*)')} pct, coalesce(100 * count(access_ts) >= 80 * count(*), false) ok from policy_events group by 1")
+_DAY = "try_strptime(regexp_extract(pub_date, '^(\\d{4}-\\d{2}-\\d{2})', 1), '%Y-%m-%d')::date"
+
+
+@query(f"select authority, count(*) n, count(access_ts) with_access, {_pct('count(access_ts)', 'count(*)')} pct, coalesce(100 * count(access_ts) >= 80 * count(*), false) ok from policy_events where {_DAY} >= date '{AS_OF[:10]}' - 90 group by 1")
 def timeliness(t, _):
-    rows = t("policy_events").groupBy("authority").agg(F.count(F.lit(1)).alias("n"), F.count("access_ts").alias("with_access"))
+    day = F.to_date(F.try_to_timestamp(F.nullif(F.regexp_extract("pub_date", r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("")), F.lit("yyyy-MM-dd")))
+    rows = t("policy_events").where(day >= F.date_sub(F.lit(AS_OF[:10]).cast("date"), 90)).groupBy("authority").agg(F.count(F.lit(1)).alias("n"), F.count("access_ts").alias("with_access"))
     return rows.select("*", C.pct(F.col("with_access"), F.col("n")).alias("pct"), (100 * F.col("with_access") >= 80 * F.col("n")).alias("ok"))
 
 
@@ -38,10 +43,11 @@ def pdf_urls(t, _):
     return t("policy_events").where(D.is_pdf(F.col("url"))).select("url")
 
 
-_SECTION = "nullif(regexp_extract(url, '^[^:]+://[^/]+/([^/?#]+)/', 1), '')"
+_VARIANTS = "unnest([2023, 2024, 2025]) a(y), unnest(range(1, 13)) b(m), unnest([0, 1, 2]) c(f)"
+_SPELT = "base || case f when 0 then y || '/' || lpad(m::varchar, 2, '0') || '/' when 1 then y || '-' || lpad(m::varchar, 2, '0') || '/' else y || lpad(m::varchar, 2, '0') || '/' end"
 
 
-@query(f"select host, url from (select host, 'https://' || host || '/' || section || '/' || y || '/' || lpad(m::varchar, 2, '0') || '/' url from (select distinct {_HOST} host, {_SECTION} section from policy_events where url is not null), unnest([2023, 2024, 2025]) a(y), unnest(range(1, 13)) b(m) where host is not null and section is not null) where url not in (select url from policy_events where url is not null)")
+@query(f"with recent as (select authority, url from (select *, row_number() over (partition by authority order by access_ts desc nulls last, event_id, pub_date nulls first, url) r from policy_events where url is not null) where r <= 50), bases as (select distinct authority, array_to_string(string_split(url, '/')[1:4], '/') || '/' base from recent where len(string_split(url, '/')) >= 4), made as (select authority, base, y, m, f, {_SPELT} url from bases, {_VARIANTS}) select authority, url from (select *, row_number() over (partition by authority order by base, y, m, f) r from made where url not in (select url from policy_events where url is not null)) where r <= 100")
 def pattern_urls(t, _):
     return D.pattern_urls(t("policy_events"))
 
@@ -139,8 +145,8 @@ def brief_ids(t, _):
 
 @query(f"select authority, age_days, case when age_days is not null and age_days <> 0 and age_days < 30 then 'Active' else 'Stale' end status from (select authority, floor((epoch_us({_ASOF}) - epoch_us(max(access_ts))) / 86400000000)::bigint age_days from policy_events group by 1)")
 def status_labels(t, _):
-    rows = C.by_authority(t("policy_events"), t("documents"), AS_OF)
-    return rows.select("authority", "age_days", C.status_label(F.col("age_days")).alias("status"))
+    age = F.floor((F.unix_micros(F.lit(AS_OF).cast("timestamp")) - F.unix_micros(F.max("access_ts"))) / 86_400_000_000)
+    return t("policy_events").groupBy("authority").agg(age.alias("age_days")).select("authority", "age_days", C.status_label(F.col("age_days")).alias("status"))
 
 
 @query("select event_id, case when n = 0 then 'no_doc' else 'short_doc' end reason from (select event_id, coalesce(max(d_len), 0) n from " + _J + " where event_id is not null group by 1) where n < 400")
@@ -151,8 +157,10 @@ def target_reasons(t, _):
 
 @query("select url, c.id chunk, count(*) over (partition by url) snippets from chunks c join pages p on p.id = c.page_id")
 def snippet_counts(t, _):
+    # an url's count is summed map-side and joined back: no task holds an url's hits
     hits = t("chunks").select(F.col("id").alias("chunk"), "page_id").join(t("pages").select(F.col("id").alias("page_id"), "url"), "page_id")
-    return hits.select("url", "chunk", F.count(F.lit(1)).over(Window.partitionBy("url")).alias("snippets"))
+    counts = hits.groupBy("url").agg(F.count(F.lit(1)).alias("snippets"))
+    return hits.join(counts.withColumnRenamed("url", "_url"), F.col("url").eqNullSafe(F.col("_url"))).select("url", "chunk", "snippets")
 
 
 @query("select doc_id, source_url from documents where created_at < timestamptz '2024-06-01 00:00:00+00' union all select min(doc_id), source_url from documents where created_at >= timestamptz '2024-06-01 00:00:00+00' and source_url is not null and source_url not in (select source_url from documents where created_at < timestamptz '2024-06-01 00:00:00+00' and source_url is not null) group by source_url")
@@ -173,9 +181,10 @@ def drops_by_authority(t, _):
     return t("quality_drops").groupBy(F.upper("authority").alias("authority")).agg(F.count(F.lit(1)).alias("drops"), F.count("metric").alias("with_metric"), F.count_distinct("url").alias("urls"))
 
 
-@query("select domain, min_by(error, url || '|' || error) filter (coalesce(error, '') <> '') first_error, count(*) n from fc_errors group by 1")
+@query("select domain, min_by(error, n) filter (coalesce(error, '') <> '') first_error, count(*) n from (select *, row_number() over () n from fc_errors) group by 1")
 def first_error_per_domain(t, _):
-    return t("fc_errors").groupBy("domain").agg(F.expr("min_by(error, url || '|' || error) filter (where coalesce(error, '') <> '')").alias("first_error"), F.count(F.lit(1)).alias("n"))
+    rows = t.arrival("fc_errors").withColumnRenamed("arrival", "seq")
+    return rows.groupBy("domain").agg(L.first_told(F.col("error")).getField("error").alias("first_error"), F.count(F.lit(1)).alias("n"))
 
 
 @query("select coalesce(a.authority, b.authority) authority, coalesce(events, 0) events, coalesce(calls, 0) calls from (select authority, count(*) events from policy_events group by 1) a full join (select authority, count(*) calls from provider_events group by 1) b on a.authority is not distinct from b.authority")
@@ -193,10 +202,6 @@ def chunk_meta(t, _):
 
 @query("select event_id, pub_date, substr(coalesce(nullif(d.body, ''), nullif(e.title, ''), ''), 1, 2000) input from policy_events e left join (select event_id, min_by(clean_text, doc_id) filter (clean_text is not null) body from documents group by 1) d using (event_id)")
 def summary_inputs(t, _):
-    body = t("documents").groupBy("event_id").agg(F.expr("min_by(clean_text, doc_id) filter (where clean_text is not null)").alias("body"))
+    body = t("documents").where("clean_text is not null and event_id is not null").groupBy("event_id").agg(F.min(F.struct("doc_id", F.left("clean_text", F.lit(2000)).alias("body"))).getField("body").alias("body"))  # cut before the shuffle
     text = F.coalesce(F.nullif(F.col("body"), F.lit("")), F.nullif(F.col("title"), F.lit("")), F.lit(""))
     return t("policy_events").join(body, "event_id", "left").select("event_id", "pub_date", F.substring(text, 1, 2000).alias("input"))
-
-
-QUERIES = {n: f for n, f in R.QUERIES.items() if n not in _HERE["names"]}
-SQL = {n: s for n, s in R.SQL.items() if n in QUERIES}

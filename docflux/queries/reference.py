@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflux.functions import text as T
@@ -16,12 +16,12 @@ from docflux.operators import merge as M
 from docflux.operators import quality as Q
 from docflux.operators import selection as S
 from docflux.operators import telemetry as L
-from docflux.sources.tables import table
+from docflux.queries.registry import registry
+from docflux.session import broadcast_if_small
 
 AS_OF = "2025-10-01 00:00:00"
 MODEL, SUMMARY_MODEL = "embed-small-a", "sum-mini"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+query, QUERIES, SQL = registry()
 
 # The alert rules, classifier rules and prices that the queries below use.
 ALERT_RULES = [("payments", ["HFSB", "OPKN", "NDIC", "OCPF"], ["payment", "pembayaran", "paiement"]), ("data", ["PDOB", "BPDW", "CEDN"], ["data", "données"]), ("nothing", ["TPRA"], ["zzzz-not-there"])]
@@ -37,19 +37,6 @@ def _pct(a: str, b: str, digits: int = 2) -> str:
     return f"round(case when {b} <> 0 then 100.0::double * {a} / {b} end, {digits})"
 
 
-def query(sql: str | None) -> Callable:
-    """Registers a function of (events, documents, loader) under its name, with its SQL."""
-
-    def add(fn: Callable) -> Callable:
-        name = fn.__name__.strip("_")
-        QUERIES[name] = lambda spark, d, fn=fn: fn(lambda t: table(spark, d, t), spark)
-        if sql:
-            SQL[name] = sql
-        return fn
-
-    return add
-
-
 def _joined(t: Callable) -> DataFrame:
     return C.with_documents(t("policy_events"), t("documents"))
 
@@ -97,9 +84,12 @@ def summary_coverage(t, _):
     return C.enrichment(t("policy_events"), "summary_en", "summary_model")
 
 
-@query(_enrichment_sql("embedding", "embedding_model"))
+_DOCS_OF = "documents d join policy_events e on e.event_id = d.event_id"
+
+
+@query(f"select case when grouping(authority) = 1 then 'GLOBAL' else authority end authority, count(distinct doc_id) docs, count(distinct case when embedding is not null then doc_id end) embedded, count(distinct case when embedding_model is not null then doc_id end) with_model, count(distinct embedding_model) models, {_pct('count(distinct case when embedding is not null then doc_id end)', 'count(distinct doc_id)', 1)} embedded_pct from {_DOCS_OF} group by rollup(authority)")
 def embedding_coverage(t, _):
-    return C.enrichment(t("policy_events"), "embedding", "embedding_model")
+    return C.embedded_documents(t("policy_events"), t("documents"))
 
 
 @query("select count(*) n, count(distinct event_id) events, count(distinct authority) authorities, epoch_us(min(access_ts)) first_us, epoch_us(max(access_ts)) last_us from policy_events")
@@ -225,11 +215,6 @@ def page_measures(t, _):
     return t("documents").where(x.isNotNull()).select("doc_id", F.length(F.regexp_replace(x, r"\s", "")).alias("solid"), F.round(T.ascii_ratio(x), 6).alias("ascii_share"), T.not_found(F.col("title"), x).alias("not_found"))
 
 
-@query(None)
-def gate_reasons(t, _):
-    return Q.gate_reasons(t("documents").where("raw_text is not null"))
-
-
 @query("select reason, count(*) n from (select unnest(string_split(reason, ';')) reason from quality_drops where reason is not null) where reason <> '' group by 1")
 def drop_breakdown(t, _):
     return Q.reason_breakdown(t("quality_drops"))
@@ -292,9 +277,17 @@ def _sampler_sql(days: int, limit: int) -> str:
 
 @query(_sampler_sql(7, 200))
 def sampler_7d(t, _):
-    docs = t("documents")
-    bodies = docs.groupBy("event_id").agg(F.expr("min_by(clean_text, doc_id) filter (where clean_text is not null)").alias("clean_text"), F.expr("min_by(source_url, doc_id) filter (where source_url is not null)").alias("source_url")).withColumn("doc_id", F.lit(0))
-    return S.sampler(t("policy_events"), bodies, AS_OF, 7, 200)
+    return S.sampler(t("policy_events"), t("documents"), AS_OF, S.lookback(days=7), 200)
+
+
+@query(_sampler_sql(1, 50))
+def sampler_24h(t, _):
+    return S.sampler(t("policy_events"), t("documents"), AS_OF, S.lookback(hours=24), 50)
+
+
+@query(_sampler_sql(90, 12))
+def sampler_executive(t, _):
+    return S.sampler(t("policy_events"), t("documents"), AS_OF, S.lookback(days=90), 12)
 
 
 @query(
@@ -341,7 +334,7 @@ def classify_first_match(t, _):
 
 @query("select d.doc_id, a.authority, coalesce(a.country, 'SG') country from documents d left join authorities a on a.domain = d.source")
 def authority_from_domain(t, _):
-    return t("documents").join(F.broadcast(t("authorities").select("domain", "authority", "country")), F.col("source") == F.col("domain"), "left").select("doc_id", "authority", F.coalesce("country", F.lit("SG")).alias("country"))
+    return t("documents").join(broadcast_if_small(t("authorities").select("domain", "authority", "country")), F.col("source") == F.col("domain"), "left").select("doc_id", "authority", F.coalesce("country", F.lit("SG")).alias("country"))
 
 
 @query("select vec_id query, n neighbour, r \"rank\", score from (select a.vec_id, b.vec_id n, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) score, row_number() over (partition by a.vec_id order by list_cosine_similarity(a.embedding::double[], b.embedding::double[]) desc, b.vec_id) r from embeddings a, embeddings b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id) where r <= 8")
@@ -353,12 +346,12 @@ def knn_topk(t, _):
 # ------------------------------------------------------------------ telemetry
 _HOST = "nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]+)', 1)), '')"
 _FINE = "('ok', '200', 'fallback')"
-_FAIL = f"(select {_HOST} as domain, url, coalesce(notes, status_code_or_error) error from provider_events where status_code_or_error is not null and status_code_or_error <> '' and status_code_or_error not in {_FINE} union all select domain, url, error from fc_errors where status is not null and status not in {_FINE})"
+_FAIL = f"(select {_HOST} as domain, url, coalesce(notes, status_code_or_error) error, 1 log, n from (select *, row_number() over () n from provider_events) where status_code_or_error is not null and status_code_or_error <> '' and status_code_or_error not in {_FINE} union all select domain, url, error, 0 log, n from (select *, row_number() over () n from fc_errors) where status is not null and status not in {_FINE})"
 
 
-@query(f"select domain, failures, first.error error, first.url error_url from (select domain, count(*) failures, min(case when coalesce(error, '') <> '' then {{'error': left(error, 100), 'url': url}} end) first from {_FAIL} where domain is not null group by 1) order by failures desc, domain limit 20")
+@query(f"select domain, failures, first.error error, first.url error_url from (select domain, count(*) failures, min({{'log': log, 'n': n}}) seen, min(case when coalesce(left(error, 100), '') <> '' then {{'log': log, 'n': n, 'error': left(error, 100), 'url': url}} end) first from {_FAIL} where domain is not null group by 1) order by failures desc, seen limit 20")
 def failures_top_domains(t, _):
-    return L.top_failing_domains(L.failures(t("provider_events"), t("fc_errors")), 20)
+    return L.top_failing_domains(L.failures(t.arrival("provider_events"), t.arrival("fc_errors")), 20)
 
 
 _STREAK = "(select authority, ts, url, case when status_code_or_error = '429' then 1 else 0 end hit from provider_events where ts is not null and status_code_or_error is not null)"
@@ -436,9 +429,10 @@ def page_versions(t, _):
     return M.page_versions(t("pages")).select("url", "content_hash", F.unix_micros("first_seen").alias("first_us"), F.unix_micros("last_seen").alias("last_us"), "fetches", F.col("version"))
 
 
-@query("select distinct source_url url from documents where source_url is not null except select url from pages")
+@query(f"select distinct source_url url from documents where source_url is not null and source_url not in (select url from pages where url is not null and fetched_at < {_CUT})")
 def new_urls(t, _):
-    return t("documents").where("source_url is not null").select(F.col("source_url").alias("url")).distinct().join(t("pages"), "url", "left_anti")
+    crawled = t("pages").where("fetched_at < timestamp '2024-06-01'").select("url")
+    return t("documents").where("source_url is not null").select(F.col("source_url").alias("url")).distinct().join(crawled, "url", "left_anti")
 
 
 @query("select distinct url from (select url from pages union all select url from provider_events union all select url from policy_events) where url is not null")
@@ -448,10 +442,11 @@ def discovered_urls(t, _):
 
 @query("select s.domain, count(distinct p.id) pages, count(c.id) chunks, coalesce(sum(c.token_estimate), 0)::bigint tokens from sources s left join pages p on p.source_id = s.id left join chunks c on c.page_id = p.id group by 1")
 def source_page_chunk(t, _):
-    p = t("pages").select(F.col("id").alias("pid"), "source_id")
-    c = t("chunks").select(F.col("id").alias("cid"), "page_id", "token_estimate")
-    rows = F.broadcast(t("sources").select("id", "domain")).join(p, F.col("source_id") == F.col("id"), "left").join(c, F.col("page_id") == F.col("pid"), "left")
-    return rows.groupBy("domain").agg(F.count_distinct("pid").alias("pages"), F.count("cid").alias("chunks"), F.coalesce(F.sum("token_estimate"), F.lit(0)).alias("tokens"))
+    by_page = t("chunks").groupBy(F.col("page_id").alias("id")).agg(F.count(F.lit(1)).alias("chunks"), F.sum("token_estimate").alias("tokens"))
+    pages = t("pages").groupBy("id", "source_id").agg(F.count(F.lit(1)).alias("repeats"))  # repeated rows meet each chunk once more
+    by_source = pages.join(by_page, "id", "left").groupBy("source_id").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("chunks") * F.col("repeats")).alias("chunks"), F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"))
+    rows = t("sources").select("domain", F.col("id").alias("source_id")).join(by_source, "source_id", "left")
+    return rows.groupBy("domain").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages", "chunks", "tokens")))
 
 
 @query("select event_id, sha256(concat_ws('|', url, strftime(access_ts at time zone 'UTC', '%Y-%m-%d'), coalesce(title, ''))) event_key, pub_date from policy_events where url is not null and access_ts is not null")

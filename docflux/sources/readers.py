@@ -41,7 +41,7 @@ def feed_links(feed: Column) -> Column:
 def page_links(html: Column) -> Column:
     """Targets of a page's anchors in order, without fragments and scripts, each once."""
     found = F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*href\s*=\s*[\"']([^\"'>]+)[\"']"), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(found, F.trim), lambda x: ~x.startswith("#") & ~F.lower(x).startswith("javascript:") & (x != "")))
+    return F.array_distinct(F.filter(F.transform(found, lambda h: F.trim(h)), lambda x: ~x.startswith("#") & ~F.lower(x).startswith("javascript:") & (x != "")))
 
 
 def robots_allowed(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -23,12 +23,21 @@ def export_lines(rows: DataFrame, path: str, column: str = "line", mode: str = "
     rows.select(column).write.mode(mode).text(path)
 
 
-def append_log(rows: DataFrame, path: str) -> None:
-    """Rows added to a log table."""
-    rows.write.mode("append").parquet(path)
+def append_log(rows: DataFrame, path: str, kind: str = "parquet") -> None:
+    """Rows added to a log: parquet, csv (each part with its header) or json (one line a row)."""
+    writer = rows.write.mode("append")
+    (writer.option("header", True).option("escape", '"') if kind == "csv" else writer).format(kind).save(path)
 
 
-def markdown(rows: DataFrame, limit: int = 200) -> str:
-    """A table of at most ``limit`` rows, for reports (the only writer that brings rows to the driver)."""
+def export_snapshot(rows: DataFrame, path: str) -> None:
+    """JSON lines of a result, NULL fields kept."""
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def markdown(rows: DataFrame, most: int = 200) -> str:
+    """A table for a report. Reports are small: a result of more than ``most`` rows is refused (nothing else here brings rows to the driver)."""
+    held = rows.limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError(f"a report's table has at most {most} rows")
     head = "| " + " | ".join(rows.columns) + " |\n|" + " --- |" * len(rows.columns)
-    return head + "".join("\n| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows.limit(limit).collect())
+    return head + "".join("\n| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in held)
