@@ -1,11 +1,12 @@
 """Keyword-stuffed pages, link lists and tag pages, by replicated phrases and list density.
 
-Each line is a list line or running text. Lines of four shapes are evidence by themselves: links to other hosts, runs of
-hash tags, runs of few words again and again, and priced rows of tags. Phrase shingles (two words; single words for
+Each line is a list line or running text. List density: lines of four shapes count as dense (links to other hosts, runs
+of hash tags, runs of few words again and again, priced rows of tags). Phrase shingles (two words; single words for
 scripts without spaces and for tags) of all list lines are exploded and counted over pages and distinct hosts: a phrase
-of SPAM_HOSTS hosts or more that stands mostly in pages with such evidence is a stuffed phrase, and list lines stitched
-from stuffed phrases are evidence too. A page is a case if its evidence outweighs the running text that is its own, which
-leaves out lines that other pages of its host repeat (menus, notices, footers). Copies of a page (one text) count as one
+of SPAM_HOSTS hosts or more that stands mostly in dense pages is a stuffed phrase, and list lines stitched from stuffed
+phrases count as spam as well. The two are joined: a page is a case if its spam lines are stitched in good part from
+phrases that other hosts replicate, and outweigh the running text that is its own, which leaves out lines that other
+pages of its host repeat (menus, notices, footers). Neither alone makes a case. Copies of a page (one text) count as one
 page wherever pages are counted.
 
 Nulls, empty and blank texts are no case. Texts are read whole. Repeated doc_ids give one row. A NULL url leaves the
@@ -21,13 +22,15 @@ from docflux.llm.residue import document_lines
 from docflux.session import broadcast_if_small, materialize, spread
 
 #: Hosts on which a stuffed phrase must stand in pages with evidence, and the least share of its pages that have some.
-SPAM_HOSTS, SPAM_SHARE = 3, 0.5
+SPAM_HOSTS, SPAM_SHARE = 2, 0.5
 #: Pages of a host that repeat a line of running text before it counts as the site's, not the page's.
 SITE_PAGES = 3
-#: Words from which a line's pairs of words are looked at instead of its words.
-LONG_LINE = 150
-#: Least share of a list line's shingles that are stuffed, and lines (or characters) of evidence that a page needs.
-STITCHED, LEAST_LINES, LEAST_CHARS = 0.25, 3, 160
+#: Words back in which a word counts as said again, and share of a line's words that must be for it to be stuffed.
+NEAR, AGAIN = 24, 0.5
+#: Least share of a list line's shingles that are stuffed for it to be stitched, and of a page's spam lines' shingles.
+STITCHED, REPLICATED = 0.25, 0.2
+#: Lines or characters of spam that a page needs.
+LEAST_LINES, LEAST_CHARS = 3, 160
 
 _BULLET = r"^(?:[\-*•·–>»]+|\(?[0-9]{1,3}[.)]|\(?[a-z]\))\s*"
 _URL = r"(?i)\b(?:https?://|www\.)[^\s<>\]\)\"']+"
@@ -58,9 +61,10 @@ def with_evidence(lines: DataFrame) -> DataFrame:
     link = F.when(F.lower(raw).contains("http"), (url != "") & ~own & (F.size(words(rest)) <= 8))
     tags = F.size(F.regexp_extract_all(line, F.lit(r"#[\p{L}\p{M}\d_]{3,}"), F.lit(0)))
     tagged = F.when(raw.contains("#"), (tags >= 3) & (tags >= 0.8 * F.size(F.split(line, r"\s+"))))
-    pairs = lambda w: F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    few = lambda w: F.when(F.size(w) <= LONG_LINE, F.size(F.array_distinct(w))).otherwise(F.size(F.array_distinct(pairs(w))))  # noqa: E731 - any long text repeats words, but not pairs
-    stuffed = F.when(F.length(raw) >= 16, F.element_at(F.transform(F.array(words(line)), lambda w: (F.size(w) >= 8) & (few(w) <= 0.5 * F.size(w))), 1))
+    # a word counts as said again if one of the NEAR words before it is the same: as many in a long line as in a short one
+    again = lambda w: F.size(F.filter(F.transform(w, lambda x, i: F.array_contains(F.slice(w, F.greatest(i - NEAR + 1, F.lit(1)), F.least(i, F.lit(NEAR))), x)), lambda hit: hit))
+    repeats = lambda w: F.size(F.array_distinct(w)) <= (1 - AGAIN) * F.size(w)  # noqa: E731 - necessary whatever the distance, and cheap
+    stuffed = F.when(F.length(raw) >= 16, F.element_at(F.transform(F.array(words(line)), lambda w: F.when((F.size(w) >= 8) & repeats(w), again(w) >= AGAIN * F.size(w))), 1))
     priced = raw.rlike(r"\S\s{2,}\p{Sc}?\d+[.,]\d{2}\s{2,}\S")
     link, tagged, stuffed = (F.coalesce(x, F.lit(False)) for x in (link, tagged, stuffed))
     strong = link | tagged | stuffed | priced
@@ -68,11 +72,20 @@ def with_evidence(lines: DataFrame) -> DataFrame:
 
 
 def phrase_shingles(line: Column) -> Column:
-    """Distinct hashes of the phrases of a list line: pairs of words inside its parts, and single words without spaces."""
-    parts = F.split(F.regexp_replace(F.regexp_replace(line, _URL, " ; "), r"#", " ; "), r"[;,|/>\n!:]+|\s[\-–·»]\s|\s{2,}|[\[\]()]")
+    """Distinct hashes of the phrases of a list line.
+
+    These are the pairs of words inside its parts, single words of scripts without spaces and of tags, and of links the
+    host and the pairs of words of the path.
+    """
+    text = F.regexp_replace(F.regexp_replace(line, _URL, " ; "), r"#", " ; ")
+    links = F.when(line.contains("://"), F.regexp_extract_all(line, F.lit(r"https?://([^\s<>\]\)\"'?]+)"), F.lit(1)))
+    path = F.coalesce(F.array_join(F.transform(links, lambda u: F.regexp_replace(F.regexp_replace(u, r"^[^/]*/?", ""), r"[\-_+]", " ")), " ; "), F.lit(""))
+    parts = F.split(F.concat(text, F.lit(" ; "), path), r"[;,|/>\n!:.]+|\s[\-–·»]\s|\s{2,}|[\[\]()]")
     pairs = F.transform(parts, lambda p: F.transform(F.sequence(F.lit(0), F.greatest(F.size(words(p)) - 2, F.lit(0))), lambda i: F.concat_ws(" ", F.slice(words(p), i + 1, 2))))
     phrases = F.filter(F.flatten(pairs), lambda s: s.contains(" ") | (F.length(s) >= 8))
-    return F.array_distinct(F.transform(phrases, lambda s: F.xxhash64(s)))
+    unspaced = F.coalesce(F.when(line.rlike(r"[฀-๿]{4}"), F.regexp_extract_all(line, F.lit(r"[฀-๿]{4,}"), F.lit(0))), F.array().cast("array<string>"))
+    hosts = F.coalesce(F.transform(links, lambda u: F.concat(F.lit("//"), F.lower(F.regexp_extract(u, r"^[^/:]+", 0)))), F.array().cast("array<string>"))
+    return F.array_distinct(F.transform(F.concat(phrases, unspaced, hosts), lambda s: F.xxhash64(s)))
 
 
 def stuffed_phrases(listed: DataFrame) -> DataFrame:
@@ -84,7 +97,7 @@ def stuffed_phrases(listed: DataFrame) -> DataFrame:
 
 
 def page_evidence(docs: DataFrame, text: str = "raw_text", title: str = "title") -> DataFrame:
-    """(doc_id, spam_lines, spam_chars, own_chars, stuffed_title) of each page that has some evidence."""
+    """(doc_id, spam_lines, spam_chars, replicated, own_chars, stuffed_title) of each page that has some evidence."""
     docs = spread(docs.select("doc_id", "source", "source_url", title, text))
     pages = docs.withColumn("host", page_host(docs)).where(F.col("doc_id").isNotNull())
     heads = pages.where(F.col(text).isNotNull()).select("doc_id", F.coalesce(F.col(title), F.lit("")).alias("title"))
@@ -96,9 +109,11 @@ def page_evidence(docs: DataFrame, text: str = "raw_text", title: str = "title")
     listed = kept.where("list").join(broadcast_if_small(materialize(evident, "spam-evident")), "doc_id", "left").fillna(False, ["evident"])
     phrases = materialize(stuffed_phrases(listed.select("content", "host", "evident", "phrases")), "spam-phrases")
 
-    weak = kept.where("list and not strong and size(phrases) > 0").select("doc_id", "line_no", "chars", F.size("phrases").alias("all"), F.explode("phrases").alias("phrase"))
-    stitched = weak.join(broadcast_if_small(phrases), "phrase", "left_semi").groupBy("doc_id", "line_no").agg(F.first("chars").alias("chars"), (F.count(F.lit(1)) >= STITCHED * F.first("all")).alias("stitched")).where("stitched").select("doc_id", "chars")
-    spam = kept.where("strong").select("doc_id", "chars").unionByName(stitched).groupBy("doc_id").agg(F.count(F.lit(1)).alias("spam_lines"), F.sum("chars").alias("spam_chars"))
+    shingles = kept.where("list and size(phrases) > 0").select("doc_id", "line_no", "chars", F.size("phrases").alias("all"), "strong", F.explode("phrases").alias("phrase"))
+    hits = shingles.join(broadcast_if_small(phrases), "phrase", "left_semi").select("doc_id", "line_no", "chars", "all", "strong", "phrase")
+    dense = kept.where("strong").select("doc_id", "line_no", "chars", F.coalesce(F.size("phrases"), F.lit(0)).alias("all"), "strong", F.lit(None).cast("bigint").alias("phrase"))
+    lines = hits.unionByName(dense).groupBy("doc_id", "line_no").agg(F.first("chars").alias("chars"), F.max("all").alias("all"), F.max("strong").alias("strong"), F.size(F.collect_set("phrase")).alias("hits"))  # one line's phrases
+    spam = lines.where(F.col("strong") | (F.col("hits") >= STITCHED * F.col("all"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("spam_lines"), F.sum("chars").alias("spam_chars"), (F.sum("hits") / F.greatest(F.sum("all"), F.lit(1))).alias("replicated"))
     spam = materialize(spam, "spam-pages")
 
     running = kept.where("not list").select("doc_id", "host", "content", "key", "chars")
@@ -112,4 +127,4 @@ def find_spam(docs: DataFrame, text: str = "raw_text", title: str = "title") ->
     """(doc_id): pages that are mostly keywords, links or product tags. A stuffed title halves the evidence that is needed."""
     e = page_evidence(docs, text, title)
     enough = (F.col("spam_lines") >= LEAST_LINES) | (F.col("spam_chars") >= LEAST_CHARS) | F.col("stuffed_title")
-    return e.where(enough & (F.col("spam_chars") * F.when(F.col("stuffed_title"), 2).otherwise(1) > F.col("own_chars"))).select("doc_id")
+    return e.where(enough & (F.col("replicated") >= REPLICATED) & (F.col("spam_chars") * F.when(F.col("stuffed_title"), 2).otherwise(1) > F.col("own_chars"))).select("doc_id")

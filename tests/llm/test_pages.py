@@ -35,7 +35,7 @@ def spam_rows(at):
     rng = random.Random(9)
     out = []
     for k, host in enumerate(list(MENU) * 3):
-        kind = k % 4
+        kind = (k + k // 4) % 4  # each kind on three hosts
         if kind == 0:
             lines = ["; ".join(rng.choice(words) for _ in range(12)) for _ in range(6)]
         elif kind == 1:
@@ -59,6 +59,21 @@ def test_spam(spark):
     assert got == [r[0] for r in spam_rows(1000)]
 
 
+def test_density_alone_is_no_case(spark):
+    # a list of links that nobody else has, and phrases that other hosts have in running text
+    links = "\n".join([*MENU["a.example"][:4], *(f"Alder{chr(97 + i)} Birch{chr(97 + i)} - https://h{i}.library{i}.test/entry{i}" for i in range(9))])
+    rows = corpus() + spam_rows(1000) + [(5000, "a.example", "https://a.example/l", "Library", links, None, "h", "l")]
+    assert sorted(r["doc_id"] for r in S.find_spam(spark.createDataFrame(rows, SCHEMA)).collect()) == [r[0] for r in spam_rows(1000)]
+
+
+def test_long_lines_are_tested_as_short_ones(spark):
+    words = ["cheap broker", "visa agent", "best loan", "forex signal"]
+    rng = random.Random(12)
+    long = "; ".join(rng.choice(words) for _ in range(900))
+    rows = corpus() + spam_rows(1000) + [(5001, "b.example", "https://b.example/k", "t", "\n".join([*MENU["b.example"][:4], long]), None, "h", "l")]
+    assert 5001 in [r["doc_id"] for r in S.find_spam(spark.createDataFrame(rows, SCHEMA)).collect()]
+
+
 def test_spam_of_repeated_rows_and_empty_tables(spark):
     df = spark.createDataFrame(corpus() + spam_rows(1000) * 2, SCHEMA)
     assert sorted(r["doc_id"] for r in S.find_spam(df).collect()) == [r[0] for r in spam_rows(1000)]
