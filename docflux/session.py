@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only if Catalyst's own estimate proves it is at most this many bytes.
+#: A side is broadcast only if Catalyst estimates it at no more bytes; get_spark counts three bytes in memory for each in a file.
 BROADCAST_LIMIT = 16 * 1024 * 1024
 
 
@@ -23,6 +23,7 @@ def get_spark(app: str = "docflux", master: str | None = None, **conf: str) -> S
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.sources.fileCompressionFactor": "3.0",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     } | {k.replace("__", "."): v for k, v in conf.items()}
@@ -45,7 +46,15 @@ def shared_dir(spark: SparkSession, name: str, new: bool = True) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/docflux/{name}" + (f"-{uuid.uuid4().hex[:12]}" if new else "")
+    own = f"runs/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}" if new else name
+    return f"{base.rstrip('/')}/docflux/{own}"
+
+
+def clear_runs(spark: SparkSession) -> None:
+    """Delete what this application materialised, once its results are written. What later runs find again stays."""
+    marked = shared_dir(spark, "")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(marked).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _local_scratch(app: str) -> str:
@@ -68,7 +77,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` in bytes (an upper bound for filters and projections of files)."""
+    """Catalyst's size estimate of ``df`` in bytes: of files their compressed size times ``spark.sql.sources.fileCompressionFactor``, of nothing known the greatest number."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 

@@ -252,6 +252,16 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         shared_dir(Elsewhere, "x")
 
 
+def test_runs_can_be_cleared(spark):
+    from docflux.session import clear_runs, materialize
+
+    df = materialize(spark.range(3).toDF("id"), "t")
+    assert df.count() == 3
+    clear_runs(spark)
+    with pytest.raises(Exception, match="(?i)does ?n.t exist|not.exist|FILE_NOT_EXIST"):
+        spark.read.schema("id bigint").parquet(df.inputFiles()[0]).count()
+
+
 def test_registered_once():
     names = [n for m in (reference, inventory, incremental) for n in m.QUERIES]
     assert len(names) == len(set(names))
