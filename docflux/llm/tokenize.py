@@ -11,6 +11,7 @@ Nulls and empty texts give an empty list; a blank text is encoded as it stands;
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -20,7 +21,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflux.session import spread
@@ -42,10 +44,15 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
-def read_ranks(path: str) -> list[bytes]:
+def rank_file(name: str, folder: str) -> bytes:
+    """A vocabulary's rank file: about a megabyte, read on the driver only."""
+    with open(os.path.join(folder, f"{name}.tiktoken"), "rb") as f:
+        return f.read()
+
+
+def read_ranks(data: bytes) -> list[bytes]:
     """The tokens of a rank file in order of rank."""
-    with open(path, "rb") as f:
-        pairs = [line.split() for line in f if line.strip()]
+    pairs = [line.split() for line in data.splitlines() if line.strip()]
     tokens: list[bytes] = [b""] * len(pairs)
     for token, rank in pairs:
         tokens[int(rank)] = base64.b64decode(token)
@@ -74,8 +81,8 @@ def model_proto(tokens: list[bytes]) -> bytes:
 class Codec:
     """Encoder and decoder of one vocabulary, one a Python worker."""
 
-    def __init__(self, name: str = VOCABULARY, folder: str = TOKENIZER_DIR):
-        self.tokens = read_ranks(os.path.join(folder, f"{name}.tiktoken"))
+    def __init__(self, name: str = VOCABULARY, folder: str = TOKENIZER_DIR, data: bytes | None = None):
+        self.tokens = read_ranks(rank_file(name, folder) if data is None else data)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(self.tokens))
         self.split = regex.compile(PATTERN).findall
         self.table = {b: c for b, c in byte_alphabet().items()}
@@ -113,15 +120,26 @@ class Codec:
         return bytes(back[c] for piece in pieces for c in piece).decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=2)
-def codec(name: str, folder: str) -> Codec:
-    """The worker's codec, kept for all tasks of that worker."""
-    return Codec(name, folder)
+_CODECS: dict[str, Codec] = {}
+
+
+def codec(shipped: Broadcast) -> Codec:
+    """The worker's codec of a broadcast (digest, rank file), kept for all tasks of that worker."""
+    digest, data = shipped.value
+    if digest not in _CODECS:
+        _CODECS[digest] = Codec(data=data)
+    return _CODECS[digest]
+
+
+def ship(spark: SparkSession, name: str, folder: str) -> Broadcast:
+    """A vocabulary for the workers: executors need no copy of the folder."""
+    data = rank_file(name, folder)
+    return spark.sparkContext.broadcast((hashlib.md5(data).hexdigest(), data))
 
 
-def _batches(text: str, name: str, folder: str, make: Callable[[Codec, list], pa.Array], out: str) -> Callable:
+def _batches(text: str, shipped: Broadcast, make: Callable[[Codec, list], pa.Array], out: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(name, folder)
+        own = codec(shipped)
         for batch in batches:
             at = batch.schema.get_field_index(text)
             keep = [i for i in range(batch.num_columns) if i != at]
@@ -148,11 +166,11 @@ def _counts(own: Codec, texts: list) -> pa.Array:
 def encode_corpus(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY, folder: str = TOKENIZER_DIR) -> DataFrame:
     """(key, ids): one row a row of ``docs``, ids without special tokens. No shuffle unless the scan has too few splits."""
     rows = spread(docs.select(key, F.col(text).alias("_text")))
-    return rows.mapInArrow(_batches("_text", vocabulary, folder, _ids, "ids"), f"`{key}` {dict(rows.dtypes)[key]}, ids array<int>")
+    return rows.mapInArrow(_batches("_text", ship(docs.sparkSession, vocabulary, folder), _ids, "ids"), f"`{key}` {dict(rows.dtypes)[key]}, ids array<int>")
 
 
 def count_tokens(docs: DataFrame, text: str, keys: list[str], vocabulary: str = VOCABULARY, folder: str = TOKENIZER_DIR) -> DataFrame:
     """(keys..., n_tokens bigint): as encode_corpus, but only the number of ids, so that no list leaves the worker."""
     rows = spread(docs.select(*keys, F.col(text).alias("_text")))
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(_batches("_text", vocabulary, folder, _counts, "n_tokens"), ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n_tokens bigint")
+    return rows.mapInArrow(_batches("_text", ship(docs.sparkSession, vocabulary, folder), _counts, "n_tokens"), ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", n_tokens bigint")
