@@ -168,7 +168,7 @@ def knn(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int) -
     order = [F.desc("score"), F.asc("neighbour")]
     parts = []
     for i in range(blocks):  # a block's vectors are at most about QUERY_BLOCK bytes, so each is broadcast and no vector is shuffled
-        pairs = b.withColumn("_block", F.lit(i).cast("bigint")).join(F.broadcast(a.where(F.col("_block") == i)), "_block").where(F.col("query") != F.col("neighbour"))
+        pairs = b.withColumn("_block", F.explode(F.array(F.lit(i).cast("bigint")))).join(F.broadcast(a.where(F.col("_block") == i)), "_block").where(F.col("query") != F.col("neighbour"))
         scored = pairs.select("query", "neighbour", "_salt", (dot / (F.col("_qn") * F.col("_vn"))).alias("score"))
         parts.append(scored.withColumn("r", F.row_number().over(Window.partitionBy("query", "_salt").orderBy(*order))).where(F.col("r") <= k).drop("r", "_salt"))
     best = reduce(DataFrame.unionByName, parts)

@@ -49,3 +49,13 @@ def test_later_runs_find_the_dictionary(spark):
     rows = spark.createDataFrame([("A", raw)], "authority string, pub_date string")
     zones = spark.createDataFrame([("A", "Asia/Singapore", "dmy", None)], "authority string, zone_id string, date_order string, zone_abbr string")
     assert normalize_timestamps(rows, "pub_date", zones, again).count() == 1
+
+
+def test_a_second_run_parses_nothing(spark, tmp_path):
+    book = TimestampDictionary(spark, str(tmp_path / "book"))
+    rows = [("2024-01-01", *ZONES[0][1:]), ("1 May 2024", *ZONES[0][1:]), ("TBA", *ZONES[0][1:])]
+    df = spark.createDataFrame(rows, "raw string, zone_id string, date_order string, zone_abbr string")
+    book.update(df)
+    parsed = spark.read.parquet(book.path).count()
+    book.update(df)
+    assert parsed == 3 and spark.read.parquet(book.path).count() == parsed
