@@ -198,20 +198,21 @@ def link_backfill(t, _):
 
 
 # ------------------------------------------------------------------ discovery, links, metadata (SC10-SC13, PF21, F5, F20, F31, F33, J13, F30)
-_URLS = "regexp_extract_all(raw_text, 'https?://[^\\s)\\]>\"'']+')"
+_URLS = "list_concat(case when coalesce(trim(source_url, ' '), '') <> '' then [trim(source_url, ' ')] else []::varchar[] end, regexp_extract_all(raw_text, 'https?://[^\\s)\\]>\"'']+'))"
 
 
 def _as_html(t):
-    """Raw texts with their bare urls made anchors: pages as a fetcher would deliver them."""
-    return t("documents").where("raw_text is not null").select("doc_id", "source_url", F.regexp_replace("raw_text", r"""(https?://[^\s)\]>"']+)""", '<a href="$1">link</a>').alias("html"))
+    """Raw texts with a link to their own url and their bare urls made anchors: pages as a fetcher would deliver them."""
+    own = F.concat(F.lit('<a href="'), F.coalesce("source_url", F.lit("")), F.lit('">this page</a> '))
+    return t("documents").where("raw_text is not null").select("doc_id", "source_url", F.concat(own, F.regexp_replace("raw_text", r"""(https?://[^\s)\]>"']+)""", '<a href="$1">link</a>')).alias("html"))
 
 
-@query(f"select doc_id, url from (select doc_id, url, row_number() over (partition by doc_id order by pos) r from (select doc_id, url, min(pos) pos from (select doc_id, unnest(l) url, generate_subscripts(l, 1) pos from (select doc_id, {_URLS} l from documents where raw_text is not null)) where regexp_matches(lower(url), '{'|'.join(T.LISTING_WORDS)}') group by 1, 2)) where r <= 50")
+@query(f"select doc_id, url from (select doc_id, url, row_number() over (partition by doc_id order by pos) r from (select doc_id, url, min(pos) pos from (select doc_id, unnest(l) url, generate_subscripts(l, 1) pos from (select doc_id, {_URLS} l from documents where raw_text is not null)) where starts_with(url, 'http') and regexp_matches(lower(url), '{'|'.join(T.LISTING_WORDS)}') group by 1, 2)) where r <= 50")
 def listing_links(t, _):
     return _as_html(t).select("doc_id", F.explode(D.listing_links(F.col("source_url"), F.col("html"))).alias("url"))
 
 
-@query(f"select distinct doc_id, url from (select doc_id, url, row_number() over (partition by doc_id order by pos) r from (select doc_id, unnest(l) url, generate_subscripts(l, 1) pos from (select doc_id, {_URLS} l from documents where raw_text is not null)) where regexp_matches(lower(url), '{'|'.join(T.LANDING_WORDS)}')) where r <= 8")
+@query(f"select distinct doc_id, url from (select doc_id, url, row_number() over (partition by doc_id order by pos) r from (select doc_id, unnest(l) url, generate_subscripts(l, 1) pos from (select doc_id, {_URLS} l from documents where raw_text is not null)) where starts_with(url, 'http') and regexp_matches(lower(url), '{'|'.join(T.LANDING_WORDS)}')) where r <= 8")
 def landing_links(t, _):
     return _as_html(t).select("doc_id", F.explode(D.landing_links(F.col("source_url"), F.col("html"))).alias("url"))
 

@@ -64,6 +64,7 @@ QUERIES = {f.__name__: f for f in (stream_daily_calls, stream_first_sight, strea
 SQL = {
     "stream_daily_calls": "select authority, epoch_us(date_trunc('day', ts at time zone 'UTC')::timestamp) day_us, count(*) calls, count(*) filter (status_code_or_error = '429') limited from provider_events where ts is not null group by 1, 2",
     "stream_first_sight": "select distinct authority, url, provider, status_code_or_error, epoch_us(ts) ts_us from provider_events where ts is not null",
+    "stream_rate_guard": "with w as (select authority, hit, sum(1 - hit) over (partition by authority order by ts, u, hit rows between unbounded preceding and current row) misses from (select authority, ts, coalesce(url, '') u, case when status_code_or_error = '429' then 1 else 0 end hit from provider_events where ts is not null and status_code_or_error is not null)), i as (select authority, misses, sum(hit) run from w group by 1, 2) select authority, max_by(run, misses)::bigint run, max(run)::bigint longest, case when max(run) >= 6 then 'trip' when max(run) >= 3 then 'pause' else 'go' end as action from i group by 1",
     "request_batch": "select 'emb:' || doc_id || ':' || (start // 1000) custom_id, length(substr(clean_text, start + 1, 1200))::int input_len from (select doc_id, clean_text, unnest(range(0, greatest(length(clean_text), 1), 1000)) as start from documents d where length(clean_text) > 100 and exists (select 1 from policy_events e where e.event_id = d.event_id and (e.embedding is null or e.embedding_model is null or e.embedding_model <> 'embed-small-a')))",
     "retrieval_rollup": "select p.url, count(*) snippets, min_by(p.title, c.id) filter (coalesce(p.title, '') <> '') title, min(c.id) first_position from chunks c join pages p on p.id = c.page_id group by 1",
     "url_parts": "select event_id, pub_date, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]+)', 1)), '') host, regexp_replace(regexp_replace(lower(regexp_extract(url, '^[^:]+://[^/]+/([^?#]*)', 1)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') slug, regexp_replace(regexp_replace(url, '[?#].*$', ''), '([^/])/[^/]*$', '\\1/') || '../feed' feed from policy_events where url is not null",
