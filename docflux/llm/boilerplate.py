@@ -71,13 +71,26 @@ def style_nodes(docs: DataFrame, text: str, with_host: bool) -> DataFrame:
     return lines.select(*keep, node(line).alias("key"), F.when(~running | ~line.rlike(r"[.?!…][\"'”’)]*$"), node(F.when(line.endswith(")") | cut, F.regexp_replace(line, _DATED, "")).otherwise(line))).alias("bare"), running, cut, F.when(~running & ~cut, shape(line)).alias("shape"), F.when(~running & ~cut, parts(line)).alias("parts"), F.when(running, sentences(line)).alias("sentences"), line.rlike(r"^\(?\d{1,3}[.)]\s").alias("numbered"))
 
 
+def importance(counts: DataFrame, by: list[str], total: Column) -> DataFrame:
+    """(by..., pages, importance) from rows (by..., content, c): 1 less the entropy of a node's spread over pages, relative to ``total`` pages.
+
+    A node that stands c times on a page has the share c / n of its n occurrences there; the entropy of these shares is
+    log n - sum(c log c) / n, which is log k for k pages with one occurrence each. It combines map-side.
+    """
+    sums = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("pages"), F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
+    entropy = F.log("n") - F.col("clogc") / F.col("n")
+    return sums.select(*by, "pages", F.when(total > 1, 1 - entropy / F.log(total)).otherwise(1.0).alias("importance"))
+
+
 def site_tree(raw: DataFrame) -> DataFrame:
     """(host, key): nodes of low importance on their host; raw holds one row a line. Copies of a page count once."""
-    sizes = raw.groupBy("host").agg(F.count_distinct("content").alias("m"))
-    whole = raw.select("host", "content", "key")
-    inner = raw.where("size(parts) > 1").select("host", "content", F.explode("parts").alias("key"))
-    spread = whole.unionByName(inner).distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST_PAGES)
-    return spread.join(broadcast_if_small(sizes), "host").where(1 - F.log("k") / F.log("m") <= IMPORTANCE).select("host", "key")
+    own = raw.dropDuplicates(["host", "content", "line_no"])
+    sizes = own.groupBy("host").agg(F.count_distinct("content").alias("m"))
+    inner = own.where("size(parts) > 1").select("host", "content", F.explode("parts").alias("key"))
+    counts = own.select("host", "content", "key").unionByName(inner).groupBy("host", "key", "content").agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.join(broadcast_if_small(sizes), "host")
+    nodes = importance(counts, ["host", "key", "m"], F.col("m"))
+    return nodes.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") <= IMPORTANCE)).select("host", "key")
 
 
 def corpus_nodes(raw: DataFrame, clean: DataFrame) -> DataFrame:
