@@ -38,7 +38,7 @@ SAMPLE_ROWS, SAMPLE_LINES, HELD_OUT = 600, 8, 5
 #: Most of a label's lines that the second pass may leave out.
 WRONG_LABELS = 0.15
 #: Bytes of a line that step in one go, bytes before and after them that are read as well, positions of an inference batch.
-PART, CONTEXT, POSITIONS = 768, 96, 1_500_000
+PART, CONTEXT, POSITIONS = 1536, 64, 1_500_000
 #: Candidates for the weight of a position's log-probability, and bounds of the cost of a change (nats).
 WEIGHTS, CHANGES = (0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.45, 0.7, 1.0), (4.0, 7.0)
 #: Characters of words (see plain_length) from which a line counts in full (it then outweighs two changes by FULL); fewer count in proportion.
