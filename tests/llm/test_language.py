@@ -137,7 +137,7 @@ def test_plain_length():
 def test_context_joins_parts(tagger):
     """A line of many parts counts every byte once, and differs little from one that is read in one go."""
     rng = random.Random(6)
-    line = L.normal_bytes(text(rng, "ms", 30).replace("\n", " "))
+    line = L.normal_bytes(text(rng, "ms", 70).replace("\n", " "))
     assert len(line) > 5 * L.PART
     whole = tagger._block([line], np.array([0]), np.array([len(line)]))[0]
     got = tagger.evidence([line])[0]
