@@ -6,7 +6,7 @@ distribution over the languages; a line's evidence is the sum over its positions
 It is trained in numpy by backpropagation through time on a bounded sample of rows that carry a label; as labels may be
 wrong, lines on which the first pass contradicts its label are left out of the second. A share of the sample, chosen by
 hash, is held out of both passes: on it the weight of a position's evidence (positions are not independent) and the cost
-of a change of language are calibrated. The same sample gives the same tagger on any machine, and a tagger that was
+of a change of language are calibrated. The same sample gives the same tagger on any number of threads, and one that was
 trained once is kept in the shared folder under the hash of its sample. Inference runs inside Arrow-batched tasks: lines
 of like length step together, so that every byte of every text is read.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from docflux.session import finished, shared_dir, spread
 
 #: Raised whenever training changes, so that taggers kept by an older version aren't used.
-VERSION = 3
+VERSION = 4
 LANGUAGES = ("en", "id", "ms", "vi", "th", "tl", "fr", "de")
 #: Units a direction; bytes of a training window; windows a batch; batches of the two passes.
 UNITS, WINDOW, BATCH, STEPS = 32, 80, 64, (500, 1000)
@@ -39,12 +39,17 @@ SAMPLE_ROWS, SAMPLE_LINES, HELD_OUT = 600, 8, 5
 WRONG_LABELS = 0.15
 #: Bytes of a line that step in one go, bytes before and after them that are read as well, positions of an inference batch.
 PART, CONTEXT, POSITIONS = 1536, 64, 1_500_000
+#: Lines of an inference batch at most; the same in training, where products must be so small that they aren't split among
+#: threads, which would round otherwise; positions whose scores are summed at once.
+ROWS, FEW_ROWS, STRIDE = 1024, 256, 8
 #: Candidates for the weight of a position's log-probability, and bounds of the cost of a change (nats).
 WEIGHTS, CHANGES = (0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.45, 0.7, 1.0), (4.0, 7.0)
+#: Lines of a text up to which one with words outweighs, as its main language, all without (best_path counts those a thousandth each).
+ALIKE = 400
 #: Characters of words (see plain_length) from which a line counts in full (it then outweighs two changes by FULL); fewer count in proportion.
 FULL_LINE, FULL = 60, 1.2
 
-_SPACE, _DIGIT = re.compile(r"\s+"), re.compile(r"\d")
+_DIGIT = re.compile(r"\d")
 _PLACE = re.compile(r"[^\s@＠]*[@＠]\S*|(?:https?://|www\.)\S+")
 _WORD = re.compile(r"[^\W\d_][^\s\d]*")
 
@@ -56,14 +61,20 @@ def without_places(line: str) -> str:
 
 def normal_bytes(line: str) -> bytes:
     """What the network reads of a line: lower case, digits as 0, no addresses, white space folded, a space before and after."""
-    return (" " + _DIGIT.sub("0", _SPACE.sub(" ", without_places(line).strip().lower())) + " ").encode("utf-8", errors="replace")
+    return (" " + _DIGIT.sub("0", " ".join(without_places(line).lower().split())) + " ").encode("utf-8", errors="replace")
 
 
 def plain_length(line: str) -> float:
     """Characters of a line's words, half for capitalised ones (names, headings) unless the line is in capitals; none for addresses and numbers."""
     line = without_places(line)
     line = line.lower() if line.isupper() else line
-    return sum(len(w) if w[0] == w[0].lower() else len(w) / 2 for w in _WORD.findall(line))
+    words = _WORD.findall(line)
+    return sum(map(len, words)) - sum([len(w) for w in words if w[0] != w[0].lower()]) / 2
+
+
+def has_words(line: str) -> bool:
+    """Whether plain_length isn't 0."""
+    return _WORD.search(without_places(line)) is not None
 
 
 class ByteTagger:
@@ -134,9 +145,8 @@ class ByteTagger:
         p[:, np.arange(len(y)), y] -= 1
         p *= (mask / n)[:, :, None]
         grads: dict[str, np.ndarray] = {"b": p.sum(axis=(0, 1))}
-        flat = p.reshape(-1, p.shape[2])
-        for d, o in (("f", of), ("b", ob)):
-            grads[f"W{d}"] = o.reshape(-1, UNITS).T @ flat
+        for d, o in (("f", of), ("b", ob)):  # a product for each position: one large product is summed in another order on several threads
+            grads[f"W{d}"] = np.matmul(o.transpose(0, 2, 1), p).sum(axis=0)
         self._backward(x, "f", af, hf, p @ self.w["Wf"].T, grads)
         self._backward(x[::-1], "b", ab, hb, (p @ self.w["Wb"].T)[::-1], grads)
         return loss, grads
@@ -182,7 +192,7 @@ class ByteTagger:
         texts = [([x for x in text.split("\n") if x.strip()], LANGUAGES.index(label)) for text, label in held]
         if not texts:
             return
-        evidence = self.evidence([normal_bytes(x) for t, _ in texts for x in t])
+        evidence = self.evidence([normal_bytes(x) for t, _ in texts for x in t], FEW_ROWS)
         y = np.array([k for t, k in texts for _ in t])
         ends = np.cumsum([len(t) for t, _ in texts])
         likely = []
@@ -199,7 +209,7 @@ class ByteTagger:
         self.calibration = (float(weight), change)
 
     # ------------------------------------------------------------ inference
-    def evidence(self, lines: list[bytes]) -> np.ndarray:
+    def evidence(self, lines: list[bytes], rows: int = ROWS) -> np.ndarray:
         """(lines, languages): the sum over all positions of the log-probabilities that the network gives them."""
         out = np.zeros((len(lines), len(LANGUAGES)), np.float32)
         parts = [(i, s[max(0, a - CONTEXT) : a + PART + CONTEXT], min(a, CONTEXT), min(PART, len(s) - a)) for i, s in enumerate(lines) for a in range(0, len(s), PART)]
@@ -207,7 +217,7 @@ class ByteTagger:
         at = 0
         while at < len(parts):
             longest = len(parts[at][1])
-            take = parts[at : at + max(1, min(1024, POSITIONS // longest))]
+            take = parts[at : at + max(1, min(rows, POSITIONS // longest))]
             np.add.at(out, [i for i, *_ in take], self._block([s for _, s, *_ in take], np.array([a for *_, a, _ in take]), np.array([n for *_, n in take])))
             at += len(take)
         return out
@@ -222,24 +232,24 @@ class ByteTagger:
         scores = np.zeros((t, b, k), np.float32)
         acts, inputs, out = np.empty((2, b, h), np.float32), np.empty((2, b, h), np.float32), np.empty((b, k), np.float32)
         for d in "bf":
-            e = np.ascontiguousarray(self.w[f"E{d}"].reshape(256, 2, h).transpose(1, 0, 2))  # gate and candidate apart, each contiguous
-            u = np.ascontiguousarray(self.w[f"U{d}"].reshape(h, 2, h).transpose(1, 0, 2))
+            ez, ec = np.ascontiguousarray(self.w[f"E{d}"].reshape(256, 2, h).transpose(1, 0, 2))  # gate and candidate apart, each contiguous
+            uz, uc = np.ascontiguousarray(self.w[f"U{d}"].reshape(h, 2, h).transpose(1, 0, 2))
             w = self.w[f"W{d}"]
             state, size = np.zeros((b, h), np.float32), 0
             for i in range(t - 1, -1, -1) if d == "b" else range(t):
                 n = int(active[i])
                 if n != size:
                     s, a, g, y, size = state[:n], acts[:, :n], inputs[:, :n], out[:n], n
-                    z, c = a[0], a[1]
-                np.matmul(s, u[0], out=z)
-                np.matmul(s, u[1], out=c)
-                for q in (0, 1):
-                    np.take(e[q], x[i, :n], axis=0, out=g[q], mode="clip")
-                    v, r = a[q], g[q]
-                    v += r
-                    np.abs(v, out=r)
-                    r += 1
-                    v /= r
+                    z, c, gz, gc = a[0], a[1], g[0], g[1]
+                np.matmul(s, uz, out=z)
+                np.matmul(s, uc, out=c)
+                read = x[i, :n]
+                ez.take(read, axis=0, out=gz, mode="clip")
+                ec.take(read, axis=0, out=gc, mode="clip")
+                a += g
+                np.abs(a, out=g)
+                g += 1
+                a /= g
                 z *= 0.5
                 z += 0.5
                 c -= s
@@ -247,12 +257,18 @@ class ByteTagger:
                 s += c
                 np.matmul(s, w, out=y)
                 scores[i, :n] += y
-        scores += self.w["b"]
-        scores -= scores.max(axis=2, keepdims=True)
-        scores -= np.log(np.exp(scores).sum(axis=2, keepdims=True))
-        place = np.arange(t)[:, None] - begins[None, :]  # context is read but not counted
-        scores *= ((place >= 0) & (place < counts[None, :]))[:, :, None]
-        return scores.sum(axis=0)
+        total, ends = np.zeros((k, b), np.float32), begins + counts
+        for i in range(0, t, STRIDE):  # languages before lines, few positions at a time: numpy reduces a last axis of eight slowly
+            part = np.ascontiguousarray(scores[i : i + STRIDE].transpose(0, 2, 1))
+            part += self.w["b"][:, None]
+            part -= part.max(axis=1, keepdims=True)
+            part -= np.log(np.exp(part).sum(axis=1, keepdims=True))
+            place = np.arange(i, i + len(part))[:, None]
+            counted = (place >= begins) & (place < ends)  # context is read but not counted
+            if not counted.all():
+                part *= counted[:, None, :]
+            total += part.sum(axis=0)
+        return total.T
 
 
 def best_path(evidence: np.ndarray, lengths: np.ndarray, weight: float, change: float) -> np.ndarray:
@@ -311,7 +327,7 @@ def train(sample: list[tuple[str, str]], seed: int = 7, steps: tuple[int, int] =
     if not lines:
         return tagger
     tagger.fit(lines, y, steps[0], seed)
-    evidence = tagger.evidence(lines)
+    evidence = tagger.evidence(lines, FEW_ROWS)
     margin = (evidence.max(axis=1) - evidence[np.arange(len(y)), y]) / np.array([len(s) for s in lines])
     keep = margin <= 0
     for k in range(len(LANGUAGES)):  # of each label, only its most contradictory lines go: else a weak first pass drops what is hard
@@ -338,8 +354,12 @@ def label_text(lines: list[str], evidence: np.ndarray, weight: float, change: fl
     """Language and confidence of a text, and of each of its non-blank lines, from the lines' evidence."""
     numbers = [i for i, x in enumerate(lines) if x.strip()]
     sizes = np.array([len(lines[i].strip()) for i in numbers])
-    path = best_path(evidence, np.array([plain_length(lines[i]) for i in numbers]), weight, change)
-    soft = np.exp(np.maximum(evidence * weight - (evidence * weight).max(axis=1, keepdims=True), -30))
+    score = evidence * weight
+    score -= score.max(axis=1, keepdims=True)
+    path = score.argmax(axis=1)
+    if (path != path[0]).any() or len(path) > ALIKE or not any(has_words(lines[i]) for i in numbers):  # else no path is better than the one that never changes
+        path = best_path(evidence, np.array([plain_length(lines[i]) for i in numbers]), weight, change)
+    soft = np.exp(np.maximum(score, -30))
     soft /= soft.sum(axis=1, keepdims=True)
     amount = np.zeros(len(LANGUAGES))
     np.add.at(amount, path, sizes)
@@ -359,7 +379,9 @@ def _labels(weights: dict[str, np.ndarray], keys: int):
                 batch = whole.slice(a, 2000)
                 texts = [x.split("\n") for x in batch.column(keys).to_pylist()]
                 spoken = [[x for x in t if x.strip()] for t in texts]
-                evidence = tagger.evidence([normal_bytes(x) for t in spoken for x in t])
+                numbers: dict[str, int] = {}
+                at_line = [numbers.setdefault(x, len(numbers)) for t in spoken for x in t]
+                evidence = tagger.evidence([normal_bytes(x) for x in numbers])[at_line]  # a line that recurs is read once
                 langs, sure, segments, at = [], [], [], 0
                 for t, s in zip(texts, spoken):
                     lang, confidence, lines = label_text(t, evidence[at : at + len(s)], *tagger.calibration) if s else (None, 0.0, [])

@@ -4,6 +4,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,38 @@ def test_found(spark, tagger):
     assert L.label_languages(df.limit(0), tagger, "text", ["rec_id"]).count() == 0
 
 
+def test_a_line_that_recurs_is_read_once(tagger, monkeypatch):
+    rng = random.Random(9)
+    shared, own = text(rng, "en", 1), [text(rng, "en", 2) for _ in range(5)]
+    rows = pa.record_batch({"id": list("abcde"), "_text": [f"{shared}\n{t}\n{shared}" for t in own]})
+    read, evidence = [], L.ByteTagger.evidence
+    monkeypatch.setattr(L.ByteTagger, "evidence", lambda self, lines, *a: (read.extend(lines), evidence(self, lines, *a))[1])
+    monkeypatch.setattr(L, "plain_length", lambda _: pytest.fail("the lines are all of one language"))
+    (got,) = L._labels(tagger.w, 1)(iter([rows]))
+    assert len(read) == len(set(read)) == len({x for t in own for x in t.split("\n")}) + 1
+    assert got.column("lang").to_pylist() == ["en"] * 5 and all([x["seg_no"] for x in s] == [0, 1, 2, 3] for s in got.column("segments").to_pylist())
+
+
+def test_one_language_needs_no_path():
+    """label_text takes what best_path would give also where it doesn't ask for it."""
+    rng, pick = np.random.default_rng(4), random.Random(4)
+    for _ in range(500):
+        lines = [pick.choice(["123", "Ab", "hello world this is text", "— 5", "ประชาชนสามารถ", "X"]) for _ in range(pick.randrange(1, 6))]
+        e = (-rng.exponential(50, (len(lines), 8)) * rng.integers(0, 2, (len(lines), 8))).astype(np.float32)
+        if pick.random() < 0.7:
+            e[:, pick.randrange(8)] = 1
+        path = L.best_path(e, np.array([L.plain_length(x) for x in lines]), 0.15, 4.5)
+        assert [k for _, k, _ in L.label_text(lines, e, 0.15, 4.5)[2]] == [L.LANGUAGES[k] for k in path]
+
+
+def test_products_in_training_stay_on_one_thread(monkeypatch):
+    """OpenBLAS splits products of more than 2 ** 18 multiplications among threads."""
+    rng, rows, evidence = random.Random(10), [], L.ByteTagger.evidence
+    monkeypatch.setattr(L.ByteTagger, "evidence", lambda self, lines, n=L.ROWS: (rows.append(n), evidence(self, lines, n))[1])
+    L.train([(text(rng, k) + str(i), k) for k in PHRASES for i in range(6)], steps=(2, 2))
+    assert len(rows) == 2 and max(rows) * L.UNITS * L.UNITS <= 1 << 18
+
+
 @pytest.mark.parametrize("label, want", [("en", "en"), ("EN", "en"), ("en-SG", "en"), ("ms_MY", "ms"), ("fil", "tl"), ("und", None), ("", None), (None, None), (" th ", "th")])
 def test_label_code(spark, label, want):
     assert spark.createDataFrame([(label,)], "x string").select(L.label_code(F.col("x"))).head()[0] == want
