@@ -29,16 +29,26 @@ LEAST_HOSTS, BODY_SHARE = 3, 0.2
 #: A node that no harvested body holds is the sites' (but for rows of numbered lists, such as registers) if this many bodies should hold it, were it content (listed lines, running text).
 EXPECTED, EXPECTED_TEXT = 4, 6
 
-_MONTHS = "|".join(sorted((m for m in MONTHS if m.isalpha() and len(m) > 2), key=len, reverse=True))
+
+def any_of(words: list[str]) -> str:
+    """A pattern of the words as a prefix tree, so that each letter of a text is tried once, not once a word."""
+    tails = {k: [w[1:] for w in words if w[:1] == k] for k in sorted({w[:1] for w in words})}
+    ends = tails.pop("", None) is not None
+    found = "|".join(k + any_of(rest) for k, rest in tails.items())
+    return f"(?:{found})" + "?" * ends if found and (ends or len(tails) > 1) else found
+
+
+_MONTHS = any_of([m for m in MONTHS if m.isalpha() and len(m) > 2])
 _DATED = r"\s*\((?:[^()]{0,24}\d[^()]{0,24})\)\s*$|\s*(?:\.\.\.|…)\s*$"
 _BULLET = r"^(?:[\-*•·–]+\s+|\(?[0-9]{1,3}[.)]\s+|\(?[a-z]\)\s+)"
 _PARTS = r"\s+[|·•»›>/\-–—]\s+|\s{2,}|(?<=\S)\s*\|\s*"
+_SENTENCES = r"\s(?<=[.?!…][\"'”’)]{0,2}\s)\s*"  # white space first: looking back from every character is slow
 
 
 def node(text: Column) -> Column:
     """The hash of a line's content node: case, bullets, numbers and month names don't count."""
     x = F.regexp_replace(F.lower(F.trim(text)), _BULLET, "")
-    dated = F.regexp_replace(F.regexp_replace(x, rf"(?<![\p{{L}}\p{{M}}])(?:{_MONTHS})(?![\p{{L}}\p{{M}}])", "<m>"), r"\d+(?:[.,:/\-]\d+)*", "<*>")
+    dated = F.regexp_replace(F.regexp_replace(x, rf"(?<![\p{{L}}\p{{M}}]){_MONTHS}(?![\p{{L}}\p{{M}}])", "<m>"), r"\d+(?:[.,:/\-]\d+)*", "<*>")
     return F.xxhash64(F.when(text.rlike(r"\d"), dated).otherwise(x))  # months count as numbers only beside one
 
 
@@ -51,13 +61,13 @@ def shape(line: Column) -> Column:
 
 def sentences(line: Column) -> Column:
     """Hashes of the sentences of a line."""
-    return F.array_distinct(F.transform(F.filter(F.split(line, r"(?<=[.?!…][\"'”’)]{0,2})\s+"), lambda s: s != ""), node))
+    return F.array_distinct(F.transform(F.filter(F.split(line, _SENTENCES), lambda s: s != ""), node))
 
 
 def parts(line: Column) -> Column:
-    """Hashes of the parts of a separated line; the line's own hash alone if it has no separators."""
+    """Hashes of the parts of a separated line; NULL for a line without separators."""
     found = F.filter(F.split(F.regexp_replace(line, r"^[*•·\-]\s+", ""), _PARTS), lambda s: F.trim(s) != "")
-    return F.transform(found, node)
+    return F.when(line.rlike(_PARTS), F.transform(found, node))
 
 
 def style_nodes(docs: DataFrame, text: str, with_host: bool) -> DataFrame:
@@ -65,10 +75,11 @@ def style_nodes(docs: DataFrame, text: str, with_host: bool) -> DataFrame:
     lines = document_lines(docs, text, "host", "content") if with_host else document_lines(docs, text)
     line = F.col("line")
     dated = line.endswith(")") & line.rlike(r"\(\d{1,2}\.? \p{L}{3,9}\.?\)$")  # as teasers are
-    lines = lines.withColumn("cut", line.endswith(" ...") | line.endswith(" …") | dated).withColumn("running", is_running_text(line) & ~F.col("cut"))
+    lines = lines.withColumn("cut", line.endswith(" ...") | line.endswith(" …") | dated).withColumn("running", is_running_text(line) & ~F.col("cut")).withColumn("key", node(line))
     running, cut = F.col("running"), F.col("cut")
     keep = ["doc_id", "host", "content", "line_no"] if with_host else ["doc_id", "line_no"]
-    return lines.select(*keep, node(line).alias("key"), F.when(~running | ~line.rlike(r"[.?!…][\"'”’)]*$"), node(F.when(line.endswith(")") | cut, F.regexp_replace(line, _DATED, "")).otherwise(line))).alias("bare"), running, cut, F.when(~running & ~cut, shape(line)).alias("shape"), F.when(~running & ~cut, parts(line)).alias("parts"), F.when(running, sentences(line)).alias("sentences"), line.rlike(r"^\(?\d{1,3}[.)]\s").alias("numbered"))
+    bare = F.when(line.endswith(")") | cut, node(F.regexp_replace(line, _DATED, ""))).otherwise(F.col("key"))
+    return lines.select(*keep, "key", F.when(~running | ~line.rlike(r"[.?!…][\"'”’)]*$"), bare).alias("bare"), running, cut, F.when(~running & ~cut, shape(line)).alias("shape"), F.when(~running & ~cut, parts(line)).alias("parts"), F.when(running, sentences(line)).alias("sentences"), line.rlike(r"^\(?\d{1,3}[.)]\s").alias("numbered"))
 
 
 def importance(counts: DataFrame, by: list[str], total: Column) -> DataFrame:

@@ -34,6 +34,9 @@ LEAST_LINES, LEAST_CHARS = 3, 160
 
 _BULLET = r"^(?:[\-*•·–>»]+|\(?[0-9]{1,3}[.)]|\(?[a-z]\))\s*"
 _URL = r"(?i)\b(?:https?://|www\.)[^\s<>\]\)\"']+"
+# The end of a sentence: the mark is tried first, then what stands before it. (?!) never matches: it lets the look back reach letters of two code units.
+_END = r"[.?…](?:(?<=[\p{L}\p{M}\d)\"'”’%].(?:(?!).)?)[\"'”’)]*$|(?<=[\p{L}\p{M}]{2}[.?](?:(?!)..)?)\s+\p{Lu})"
+_FIVE_WORDS = r"\s\S++\s++\S++\s++\S++\s"
 
 
 def page_host(docs: DataFrame) -> Column:
@@ -48,7 +51,7 @@ def words(text: Column) -> Column:
 
 def is_running_text(line: Column) -> Column:
     """Whether a line reads as a sentence: five words or more with an end, or a long run of a script without spaces."""
-    return (line.rlike(r"[\p{L}\p{M}\d)\"'”’%][.?…][\"'”’)]*$|[\p{L}\p{M}]{2}[.?]\s+\p{Lu}") & (F.size(F.split(line, r"\s+")) >= 5)) | line.rlike(r"[฀-๿]{24}")
+    return (line.rlike(_END) & line.rlike(_FIVE_WORDS)) | line.rlike(r"[฀-๿]{24}")
 
 
 def with_evidence(lines: DataFrame) -> DataFrame:
@@ -77,11 +80,12 @@ def phrase_shingles(line: Column) -> Column:
     These are the pairs of words inside its parts, single words of scripts without spaces and of tags, and of links the
     host and the pairs of words of the path.
     """
-    text = F.regexp_replace(F.regexp_replace(line, _URL, " ; "), r"#", " ; ")
+    plain = F.when(F.lower(line).rlike(r"http|www\."), F.regexp_replace(line, _URL, " ; ")).otherwise(line)
+    text = F.replace(plain, F.lit("#"), F.lit(" ; "))
     links = F.when(line.contains("://"), F.regexp_extract_all(line, F.lit(r"https?://([^\s<>\]\)\"'?]+)"), F.lit(1)))
     path = F.coalesce(F.array_join(F.transform(links, lambda u: F.regexp_replace(F.regexp_replace(u, r"^[^/]*/?", ""), r"[\-_+]", " ")), " ; "), F.lit(""))
     parts = F.split(F.concat(text, F.lit(" ; "), path), r"[;,|/>\n!:.]+|\s[\-–·»]\s|\s{2,}|[\[\]()]")
-    pairs = F.transform(parts, lambda p: F.transform(F.sequence(F.lit(0), F.greatest(F.size(words(p)) - 2, F.lit(0))), lambda i: F.concat_ws(" ", F.slice(words(p), i + 1, 2))))
+    pairs = F.transform(F.transform(parts, words), lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), lambda i: F.concat_ws(" ", F.slice(w, i + 1, 2))))
     phrases = F.filter(F.flatten(pairs), lambda s: s.contains(" ") | (F.length(s) >= 8))
     unspaced = F.coalesce(F.when(line.rlike(r"[฀-๿]{4}"), F.regexp_extract_all(line, F.lit(r"[฀-๿]{4,}"), F.lit(0))), F.array().cast("array<string>"))
     hosts = F.coalesce(F.transform(links, lambda u: F.concat(F.lit("//"), F.lower(F.regexp_extract(u, r"^[^/:]+", 0)))), F.array().cast("array<string>"))
